@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ._shared import table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive_round_trip
+
+    return archive_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -24,8 +30,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, query_every=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece, op3_mixing)}
+    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk)}
 
 
 OP3_SQL = r"""
@@ -60,5 +72,25 @@ FROM m
 """
 
 
+OP1_SQL = """
+SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+       CASE WHEN strlen(coalesce(html, '')) >= 1000 AND page_id < max(page_id) OVER (PARTITION BY coalesce(html, '')) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(coalesce(html, '')) >= 1000 AND page_id < max(page_id) OVER (PARTITION BY coalesce(html, '')) THEN max(page_id) OVER (PARTITION BY coalesce(html, '')) END AS refers_to
+FROM pages
+"""
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL}
+    return {"op4_topk": OP4_SQL, "op1_warc": OP1_SQL, "op3_mixing": OP3_SQL}
