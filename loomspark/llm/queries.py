@@ -36,8 +36,14 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, query_every=50)
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import search
+
+    return search(table(spark, sf_dir, "embeddings"), k=10, query_every=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk)}
+    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann)}
 
 
 OP3_SQL = r"""
