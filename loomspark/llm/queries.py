@@ -42,8 +42,15 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), k=10, query_every=100)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import drop_lines
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return drop_lines(docs, counts=True).selectExpr("doc_id", "cast(lines_total as long) lines_total", "cast(lines_dropped as long) lines_dropped", "sha2(text, 256) kept_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann)}
+    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann, op7_line_dedup)}
 
 
 OP3_SQL = r"""
@@ -98,5 +105,20 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+OP7_SQL = """
+WITH l AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS ls FROM documents),
+t AS (SELECT source, count(*) AS total FROM l GROUP BY source),
+c AS (SELECT source, line, count(*) AS n
+      FROM (SELECT source, unnest(list_distinct(list_transform(ls, lambda x: trim(x, ' ' || chr(9) || chr(13))))) AS line FROM l)
+      WHERE line <> '' GROUP BY source, line),
+b AS (SELECT c.source, list(line) AS bad FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source WHERE n >= 5 AND n > total * 0.05 GROUP BY c.source),
+k AS (SELECT l.*, list_filter(ls, lambda x: NOT list_contains(coalesce(bad, []), trim(x, ' ' || chr(9) || chr(13)))) AS kept
+      FROM l LEFT JOIN b ON l.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS lines_total, coalesce(len(ls) - len(kept), 0)::BIGINT AS lines_dropped,
+       CASE WHEN text IS NOT NULL THEN sha256(CASE WHEN len(ls) = len(kept) THEN text ELSE array_to_string(kept, chr(10)) END) END AS kept_sha256
+FROM k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_topk": OP4_SQL, "op1_warc": OP1_SQL, "op3_mixing": OP3_SQL}
+    return {"op7_line_dedup": OP7_SQL, "op4_topk": OP4_SQL, "op1_warc": OP1_SQL, "op3_mixing": OP3_SQL}
