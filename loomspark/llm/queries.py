@@ -49,8 +49,14 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_lines(docs, counts=True).selectExpr("doc_id", "cast(lines_total as long) lines_total", "cast(lines_dropped as long) lines_dropped", "sha2(text, 256) kept_sha256")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann, op7_line_dedup)}
+    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann, op7_line_dedup, op10_quality)}
 
 
 OP3_SQL = r"""
