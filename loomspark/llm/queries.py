@@ -55,8 +55,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import Rule, filter_urls
+
+    rules = [Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/")]
+    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann, op7_line_dedup, op10_quality)}
+    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann, op7_line_dedup, op8_url_filter, op10_quality)}
 
 
 OP3_SQL = r"""
@@ -126,5 +133,42 @@ FROM k
 """
 
 
+def _op8_sql(depth: int = 4) -> str:
+    level = """
+n{d} AS (SELECT *, segs[{d}] AS s FROM l{p}),
+c{d} AS (SELECT host, t, s, sum(n) AS n, sum(lab) AS lab, sum(blk) AS blk FROM n{d} WHERE s IS NOT NULL GROUP BY ALL),
+k{d} AS (
+  SELECT host, t, s FROM (SELECT *, count(*) OVER w AS fan, sum(n) OVER w AS an, (sum(lab) OVER w)::DOUBLE AS al, (sum(blk) OVER w)::DOUBLE AS ab FROM c{d} WINDOW w AS (PARTITION BY host, t))
+  WHERE NOT (fan > 20 AND n < 0.05::DOUBLE * an) AND (fan = 1 OR (lab >= 5 AND al - lab >= 5 AND
+        abs(blk / lab::DOUBLE - (ab - blk) / (al - lab)) > 1.96::DOUBLE * sqrt(ab / al * (1 - ab / al) * (1 / lab::DOUBLE + 1 / (al - lab)))))),
+l{d} AS (
+  SELECT host, segs, n, lab, blk, t || CASE WHEN n{d}.s IS NULL THEN '' WHEN k{d}.s IS NOT NULL THEN '/' || n{d}.s ELSE '/*' END AS t
+  FROM n{d} LEFT JOIN k{d} USING (host, t, s)),"""
+    return r"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (
+  SELECT *, CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM h),
+g AS (
+  SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS said,
+    CASE WHEN path = '' THEN []::VARCHAR[] ELSE list_transform(string_split(substr(path, 2), '/'),
+      lambda s: CASE WHEN regexp_matches(s, '^[0-9a-fA-F-]{16,}$') THEN '*' ELSE regexp_replace(s, '[0-9]+', '*', 'g') END) END AS segs
+  FROM r),
+l0 AS (SELECT host, segs, count(*) AS n, count(said) AS lab, count(*) FILTER (said = 'block') AS blk, '' AS t FROM g GROUP BY host, segs),""" + "".join(level.format(d=d, p=d - 1) for d in range(1, depth + 1)) + f"""
+f AS (SELECT host, segs, lab, blk, t || CASE WHEN len(segs) > {depth} THEN '/**' ELSE '' END AS template FROM l{depth}),
+m AS (SELECT host, template, sum(lab)::DOUBLE AS lab, sum(blk)::DOUBLE AS blk FROM f GROUP BY ALL),
+p AS (SELECT (sum(blk) + 1) / (sum(lab) + 2) AS prior FROM m),
+o AS (SELECT host, (sum(blk) + 4.0::DOUBLE * any_value(prior)) / (sum(lab) + 4.0::DOUBLE) AS ph FROM m, p GROUP BY host),
+v AS (SELECT m.host, template, (blk + 4.0::DOUBLE * ph) / (lab + 4.0::DOUBLE) AS purity FROM m JOIN o USING (host))
+SELECT page_id, g.host, path, rule, coalesce(said, CASE WHEN purity >= 0.7 THEN 'block' ELSE 'allow' END) AS verdict, f.template, purity
+FROM g JOIN f ON g.host = f.host AND g.segs = f.segs JOIN v ON f.host = v.host AND f.template = v.template
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": OP7_SQL, "op4_topk": OP4_SQL, "op1_warc": OP1_SQL, "op3_mixing": OP3_SQL}
+    return {"op8_url_filter": _op8_sql(), "op7_line_dedup": OP7_SQL, "op4_topk": OP4_SQL, "op1_warc": OP1_SQL, "op3_mixing": OP3_SQL}
