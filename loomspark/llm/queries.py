@@ -62,8 +62,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann, op7_line_dedup, op8_url_filter, op10_quality)}
+    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann, op7_line_dedup, op8_url_filter, op9_jaccard, op10_quality)}
 
 
 OP3_SQL = r"""
