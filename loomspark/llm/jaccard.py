@@ -279,3 +279,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: s
     reached = reached.select(F.col("node").alias("first"), F.col("component").alias("reached"))
     rows = sets.select("doc_id", "n", "same").join(copies, "same", "left").withColumn("first", F.when(F.col("n") > 0, F.coalesce("first", "doc_id")).otherwise(F.col("doc_id")))
     return rows.join(reached, "first", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("reached", "first")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The table with one document of each component left, that with the smallest id; of rows that share an id, one.
+    Rows with a null id or an empty set link with nothing and stay."""
+    found = written(jaccard_components(docs, k, percent, doc_id, text), "jaccard-found")
+    gone = written(found.filter("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "jaccard-gone")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    kept = docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
+    again = found.filter("n_shingles > 0 and component_id = doc_id").groupBy("doc_id").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    again = written(again.select(F.col("doc_id").alias("__again")), "jaccard-again")
+    once = docs.join(again, docs[doc_id] == again["__again"], "left_semi").filter(F.trim(F.coalesce(F.col(text), F.lit(""))) != "").dropDuplicates([doc_id])
+    return kept.join(again, kept[doc_id] == again["__again"], "left_anti").unionByName(once)

@@ -78,23 +78,36 @@ def _cuts(sized: DataFrame, weights: tuple[int, ...], share: tuple[int, int], ep
     return plan.drop("__need").join(found, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: tuple[int, int] = (3, 2), epochs: int = 2, seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """What the mix takes of each document: doc_id, size, source, source_size, target, taken (words, repeats counted)."""
-    order = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))), 1, 15)
-    sized = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), order.alias("__order")), "mix-sizes")
-    cuts = written(_cuts(sized, weights, share, epochs), "mix-cuts")
-    mixed = attach(sized, cuts, "source")
-    more = F.when(F.col("__order") < F.col("cut"), F.col("size")).when(F.col("__order") == F.col("cut"), F.expr("size * cut_words div cut_size")).otherwise(0)
-    return mixed.select("doc_id", "size", "source", "source_size", "target", (F.col("whole") * F.col("size") + more).cast("long").alias("taken"))
+def _planned(docs: DataFrame, own: list[str], options: dict) -> DataFrame:
+    """The columns ``own`` of docs with ``__source, __size, __order``, the plan of the source, and ``__taken``."""
+    o = {"weights": (5, 2, 1), "share": (3, 2), "epochs": 2, "seed": 17, "doc_id": "doc_id", "text": "text", "source": "source"} | options
+    order = F.substring(F.md5(F.concat(F.lit(f"{o['seed']}:"), F.coalesce(F.col(o["doc_id"]).cast("string"), F.lit("null")))), 1, 15)
+    rows = docs.select(*own, F.col(o["source"]).alias("__source"), word_count(F.col(o["text"])).alias("__size"), order.alias("__order"))
+    if o["text"] not in own:
+        rows = written(rows, "mix-sizes")
+        sized = rows
+    else:
+        sized = written(rows.select("__source", "__size", "__order"), "mix-sizes")
+    sized = sized.select(F.col("__source").alias("source"), F.col("__size").alias("size"), "__order")
+    cuts = written(_cuts(sized, o["weights"], o["share"], o["epochs"]), "mix-cuts")
+    cuts = cuts.select(*[F.col(c).alias(f"__{c}") for c in cuts.columns])
+    more = F.when(F.col("__order") < F.col("__cut"), F.col("__size")).when(F.col("__order") == F.col("__cut"), F.expr("__size * __cut_words div __cut_size")).otherwise(0)
+    cuts = cuts.withColumnRenamed("__source", "__of")
+    return attach(rows.withColumn("__of", F.col("__source")), cuts, "__of").withColumn("__taken", (F.col("__whole") * F.col("__size") + more).cast("long"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """What the mix takes of each document: doc_id, size, source, source_size, target, taken (words, repeats counted).
+
+    Options and their defaults: weights (5, 2, 1), share (3, 2), epochs 2, seed 17, and the names of the columns doc_id, text, source."""
+    out = _planned(docs.select(*{options.get(k, k): 0 for k in ("doc_id", "text", "source")}), [options.get("doc_id", "doc_id")], options)
+    names = {"__size": "size", "__source": "source", "__source_size": "source_size", "__target": "target", "__taken": "taken"}
+    return out.select(F.col(options.get("doc_id", "doc_id")).alias("doc_id"), *[F.col(k).alias(v) for k, v in names.items()])
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every document as often as it is taken, a cut one once more if half of it or more is taken."""
-    names = {k: options.get(k, k) for k in ("doc_id", "text", "source")}
-    taken = mix(docs, **options).select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("taken").alias("__taken"))
+    """The mix itself: every row as often as it is taken, a cut one once more if half of it or more is taken."""
+    out = _planned(docs, docs.columns, options)
     times = F.when(F.col("__size") > 0, F.floor(F.col("__taken") / F.col("__size") + 0.5)).otherwise(0).cast("int")
-    # Rows that share an id share its hash and so, but for their sizes, its fate: one row of each is enough.
-    times = taken.groupBy("__id", "__size").agg(F.max(times).alias("__times")).filter("__times > 0")
-    own = docs.withColumn("__words", word_count(F.col(names["text"])))
-    joined = own.join(times, own[names["doc_id"]].eqNullSafe(times["__id"]) & (own["__words"] == times["__size"]))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[joined[c] for c in docs.columns])
+    out = out.withColumn("__times", times).filter("__times > 0")
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
