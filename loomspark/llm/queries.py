@@ -36,6 +36,12 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, query_every=50)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import search
 
@@ -69,7 +75,7 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op6_ann, op7_line_dedup, op8_url_filter, op9_jaccard, op10_quality)}
+    return {f.__name__: f for f in (op1_warc, op2_sentencepiece, op3_mixing, op4_topk, op5_suffix_dedup, op6_ann, op7_line_dedup, op8_url_filter, op9_jaccard, op10_quality)}
 
 
 OP3_SQL = r"""
