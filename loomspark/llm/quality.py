@@ -7,8 +7,8 @@ Last, one slope and one offset map the margin to a probability on the labelled l
 the scores as it is. The model is fitted in one task on bounded samples, ``positives``, ``unlabelled`` and ``labelled`` rows at most,
 the first by a seeded hash; it is a fixed number of weights. Scoring reads every text whole.
 
-Features of a text, from its UTF-8 bytes: square roots of the shares of each byte and of hashed byte pairs, the logarithm
-of the length, the shares of distinct words and lines. Neither labels nor language, source or id are among them.
+Features of a text, from its UTF-8 bytes: square roots of the shares of each byte and of hashed byte pairs, and shares of
+kinds of characters, of short, repeated and cut-off words, of distinct words and lines. Neither labels nor language, source or id are among them.
 
 Defined cases: null text is the empty text, whose features are the offset alone, and is scored; null ids are never held out and
 never labelled; repeated rows are scored alike; of several labels of one id the smallest counts; without any labelled positive every score is the prior (0.5 where
@@ -17,6 +17,7 @@ that can't be estimated either); an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,8 +30,8 @@ from pyspark.sql import types as T
 from ._shared import written
 
 #: Buckets of hashed byte pairs, and features in all.
-PAIRS = 1024
-WIDTH = 256 + PAIRS + 4
+PAIRS, SHARES = 1024, 15
+WIDTH = 256 + PAIRS + SHARES + 1
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,24 @@ class Samples:
     seed: int = 11
 
 
+def shares(raw: np.ndarray, words: list[str], lines: list[str]) -> list[float]:
+    """Of a text that is not empty: shares of kinds of characters, and how its words and lines are made."""
+    n, m = len(raw), max(1, len(words))
+    count = np.bincount(raw, minlength=256)
+    upper, lower, digit, other = (int(count[a:b].sum()) for a, b in ((65, 91), (97, 123), (48, 58), (128, 256)))
+    blank = int(count[9:14].sum() + count[32])
+    space = np.concatenate([[True], (raw == 32) | ((raw >= 9) & (raw <= 13)), [True]])
+    first, end = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+    sizes, last = end - first, raw[np.maximum(end - 1, 0)]
+    letter = ((last | 32) >= 97) & ((last | 32) <= 122) | (last >= 128)
+    top = Counter(words).most_common(1)[0][1] if words else 0
+    return [
+        upper / n, (upper + lower + other) / n, digit / n, blank / n, (n - upper - lower - digit - other - blank) / n,
+        float(sizes.mean()) / 10 if len(sizes) else 0.0, float(sizes.std()) / 10 if len(sizes) else 0.0, float((sizes <= 3).mean()) if len(sizes) else 0.0,
+        float(letter.mean()) if len(sizes) else 0.0, (count[33] + count[46] + count[63]) / m, np.log1p(m) / 10, len(set(words)) / m, top / m, len(set(lines)) / len(lines), m / len(lines) / 100,
+    ]
+
+
 def features(text: str | None) -> np.ndarray:
     out = np.zeros(WIDTH, np.float32)
     out[-1] = 1
@@ -55,10 +74,8 @@ def features(text: str | None) -> np.ndarray:
         wide = raw.astype(np.uint32)
         pair = ((wide[:-1] * 256 + wide[1:]) * np.uint32(2654435761)) >> np.uint32(22)
         out[256 : 256 + PAIRS] = np.sqrt(np.bincount(pair, minlength=PAIRS) / (n - 1))
-    words, lines = text.split(), text.split("\n")
-    out[-4] = np.log1p(n) / 10
-    out[-3] = len(set(words)) / max(1, len(words))
-    out[-2] = len(set(lines)) / len(lines)
+    out[-1 - SHARES : -1] = shares(raw, text.split(), text.split("\n"))
+    out[-1 - SHARES : -1] *= 2  # they tell most where labels are few
     return out
 
 
@@ -66,7 +83,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 300, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
+def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 300, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
     """Weights that minimise the non-negative unbiased risk, by Adam over all rows."""
     w, m, v = np.zeros(p.shape[1]), np.zeros(p.shape[1]), np.zeros(p.shape[1])
     for t in range(1, rounds + 1):
