@@ -12,7 +12,7 @@ def first_filled(*cols: Column) -> Column:
 
 
 def split_multi(cell: Column, by: str = "[,;]") -> Column:
-    return F.filter(F.transform(F.split(cell, by), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(cell, by), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def parse_date(text: Column, formats: tuple[str, ...] = ("yyyy-MM-dd", "d/M/yyyy", "d MMMM yyyy")) -> Column:
