@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import values as V
+from ..operators import glossary as L
 from ..operators import graphs as G
 from ..operators import measure as M
 from ..operators import relate as R
@@ -583,6 +584,69 @@ def cluster_reconcile(t):
     return R.reconcile(members, t("part").filter("p_size <= 25").select(F.col("p_partkey").alias("record")))
 
 
+# --- glossaries and taxonomies
+
+
+@query("""SELECT p_brand AS surface, sum(n)::BIGINT AS n_mentions, max(d) AS n_docs, min(p) AS pattern, string_agg(DISTINCT src, ', ' ORDER BY src) AS sources FROM (SELECT p_brand, 'a' AS p, 'one' AS src, count(*) AS n, count(DISTINCT p_size) AS d FROM part WHERE p_size < 20 GROUP BY ALL UNION ALL SELECT p_brand, 'b', 'two', count(*), count(DISTINCT p_size) FROM part WHERE p_size > 10 GROUP BY ALL) GROUP BY 1""")
+def source_merge(t):
+    freq = [t("part").filter(w).groupBy(F.col("p_brand").alias("surface")).agg(F.count("*").alias("n_mentions"), F.count_distinct("p_size").alias("n_docs")).withColumns({"pattern": F.lit(p), "source": F.lit(s)}) for w, p, s in (("p_size < 20", "a", "one"), ("p_size > 10", "b", "two"))]
+    return L.merge_sources(freq[0].unionByName(freq[1]))
+
+
+@query("""WITH m AS (SELECT p_brand AS cluster, p_type AS surface, count(*) AS n, count(DISTINCT p_size) AS d FROM part GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, surface) AS k FROM m)
+SELECT cluster, count(*) AS size, sum(n)::BIGINT AS n_mentions, max(d) AS n_docs, max(CASE WHEN k = 1 THEN surface END) AS canonical, string_agg(surface, '; ' ORDER BY k) FILTER (k <= 3) AS variants FROM r GROUP BY cluster""")
+def cluster_rollup(t):
+    members = t("part").groupBy(F.col("p_brand").alias("cluster"), F.col("p_type").alias("surface")).agg(F.count("*").alias("n_mentions"), F.count_distinct("p_size").alias("n_docs"))
+    return L.cluster_rollup(members, 3)
+
+
+@query(f"""WITH m AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all({_MASKED}, '\\b([A-Z]{{2,8}})\\b', 1)) AS term FROM documents), f AS (SELECT doc_id, lang AS fact FROM documents UNION ALL SELECT doc_id, source FROM documents),
+b AS (SELECT fact AS name, count(*) AS bn FROM f GROUP BY 1), s AS (SELECT term, fact AS name, count(*) AS n FROM m JOIN f USING (doc_id) WHERE term NOT IN ({_STOP}) GROUP BY ALL),
+x AS (SELECT term, name, n, n / (sum(n) OVER (PARTITION BY term))::DOUBLE AS obs_share, bn / (SELECT sum(bn) FROM b)::DOUBLE AS base_share FROM s JOIN b USING (name))
+SELECT term, name, n, obs_share, base_share, distinctiveness, rank FROM (SELECT *, obs_share / base_share AS distinctiveness, row_number() OVER (PARTITION BY term ORDER BY round(obs_share / base_share, 6) DESC, n DESC, name)::INTEGER AS rank FROM x) WHERE rank <= 8""")
+def term_fingerprints(t):
+    mentions = T.candidates(t("documents"), "doc_id", "text").filter("pattern = 'acronym'").select(F.col("doc").alias("doc_id"), F.col("surface").alias("term"))
+    facts = t("documents").select("doc_id", F.explode(F.array("lang", "source")).alias("fact"))
+    return L.fingerprint(mentions, facts, "doc_id", "term", "fact")
+
+
+@query("""WITH a AS (SELECT o_orderkey AS record, o_orderpriority AS cluster, o_orderdate FROM orders), p AS (SELECT DISTINCT cluster, CASE WHEN cluster < '3' THEN 'high' WHEN cluster < '5' THEN 'low' END AS parent FROM a), h AS (SELECT record, cluster, coalesce(parent, 'unassigned') AS parent, CASE WHEN parent = 'high' THEN 'urgent' ELSE 'unassigned' END AS theme FROM a LEFT JOIN p USING (cluster))
+SELECT theme, parent, cluster, count(*) AS n FROM h GROUP BY ROLLUP (theme, parent, cluster)""")
+def hierarchy_rollup(t):
+    a = t("orders").select(F.col("o_orderkey").alias("record"), F.col("o_orderpriority").alias("cluster"))
+    c = F.col("cluster")
+    parents = a.select("cluster").distinct().select("cluster", F.when(c < "3", "high").when(c < "5", "low").alias("parent"))
+    themes = parents.sparkSession.createDataFrame([("high", "urgent")], "parent string, theme string")
+    return L.rollup_hierarchy(a, parents, themes)
+
+
+@query("""WITH a AS (SELECT user_id, max(event_type) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT user_id, max(event_type) AS w FROM events WHERE event_id % 3 = 0 GROUP BY 1)
+SELECT count(*) FILTER (v IS NOT NULL AND w IS NOT NULL) AS common, count(*) FILTER (v = w) AS equal, count(*) FILTER (w IS NULL) AS only_a, count(*) FILTER (v IS NULL) AS only_b FROM a FULL JOIN b USING (user_id)""")
+def run_comparison(t):
+    a, b = (t("events").filter(f"event_id % {k} = 0").groupBy("user_id").agg(F.max("event_type").alias("v")) for k in (2, 3))
+    return L.compare_runs(a, b, "user_id", "v")
+
+
+@query("""WITH s AS (SELECT event_type AS label, user_id % 5 AS run, avg(value) AS score FROM events GROUP BY ALL), r AS (SELECT threshold, label, count(DISTINCT run) FILTER (score >= threshold) AS in_runs FROM s, (SELECT unnest([40.0, 50.0, 60.0])::DOUBLE AS threshold) GROUP BY ALL)
+SELECT threshold, label, in_runs, 5::BIGINT AS runs, CASE WHEN in_runs = 5 THEN 'all' WHEN in_runs > 0 THEN 'some' ELSE 'none' END AS verdict FROM r""")
+def threshold_inclusion(t):
+    scores = t("events").groupBy(F.col("event_type").alias("label"), (F.col("user_id") % 5).alias("run")).agg(F.avg("value").alias("score"))
+    return L.inclusion(scores, "label", "run", "score", [40.0, 50.0, 60.0])
+
+
+@query("SELECT conv_id, turn, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prior FROM conversations")
+def prior_turn(t):
+    return L.chain(t("conversations").select("conv_id", "turn", "role"), "conv_id", "turn", "role")
+
+
+@query("""SELECT DISTINCT o_custkey, p_brand FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE p_size <= 5""")
+def category_bridge(t):
+    lines = t("lineitem").select("l_orderkey", "l_partkey").join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    groups = lines.groupBy("o_custkey").agg(F.collect_set("l_partkey").alias("parts"))
+    brands = t("part").filter("p_size <= 5").select(F.col("p_partkey").alias("part"), F.array("p_brand").alias("p_brand"))
+    return L.bridge(groups, "parts", brands, "part", "p_brand")
+
+
 @query()
 def sweep_converged(t):
     from ..operators.sweep import nearest_seed_provider, sweep

@@ -251,3 +251,20 @@ def test_registry_stream(spark, tmp_path):
     out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == [("g", "x", 1, 1), ("g", "y", 2, 2), ("h", "x", 1, 1)]
+
+
+def test_glossary(spark):
+    from loomspark.operators import glossary as L
+
+    layers = [spark.createDataFrame([("a", "old"), ("b", "x")], "t string, d string"), spark.createDataFrame([("a", "new", "note")], "term string, definition string, notes string")]
+    got = {r.term: (r.definition, r.notes) for r in L.merge_entries([L.verbose(df) for df in layers]).collect()}
+    assert got == {"a": ("new", "note"), "b": ("x", None)}
+    assigned = spark.createDataFrame([(1, "c1", 0), (1, "c2", 2), (2, "c1", 1)], "record int, cluster string, layer int")
+    assert {r.record: r.cluster for r in L.latest_assignments(assigned).collect()} == {1: "c2", 2: "c1"}
+    parents = spark.createDataFrame([("p1",), ("p2",), ("p3",)], "parent string")
+    themes = spark.createDataFrame([("t1", "p1"), ("t2", "p1"), ("t1", "p2"), ("t1", "p9")], "theme string, parent string")
+    assert {(r.problem, r.parent) for r in L.theme_audit(parents, themes).collect()} == {("uncovered", "p3"), ("duplicated", "p1"), ("unknown", "p9")}
+    rows = spark.createDataFrame([("A b",), ("c",), ("z",)], "title string")
+    files = spark.createDataFrame([("a_b", "/1"), ("c", "/2")], "key string, path string")
+    found = L.resolve(rows, [(F.col("title"), files, "key"), (X.slug(F.col("title")), files, "key")], "path")
+    assert {r.title: r.path for r in found.collect()} == {"A b": "/1", "c": "/2", "z": None}
