@@ -205,7 +205,7 @@ def exact_dup_docs(t):
 
 @query()
 def chunk_sentences(t):
-    parts = t("documents").filter(F.length("text") > 4000).select("doc_id", F.posexplode(X.split_long(F.col("text"), 4000)).alias("seq", "part"))
+    parts = t("documents").select("doc_id", F.posexplode(X.split_long(F.col("text"), 4000)).alias("seq", "part"))
     return parts.select("doc_id", "seq", F.length("part").alias("size"))
 
 
@@ -273,10 +273,10 @@ def latest_layer(t):
     return R.latest(t("events").select("user_id", "event_id", "event_type", "ts"), ["user_id"], ["ts", "event_id"]).drop("ts")
 
 
-@query("""WITH o AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0), n AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 <> 0)
+@query("""WITH o AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'), n AS (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '5-LOW')
 SELECT o_orderkey, 'new' AS change FROM n WHERE o_orderkey NOT IN (SELECT * FROM o) UNION ALL SELECT o_orderkey, 'removed' FROM o WHERE o_orderkey NOT IN (SELECT * FROM n)""")
 def live_diff(t):
-    return R.diff(t("orders").filter("o_orderkey % 3 <> 0"), t("orders").filter("o_orderkey % 4 <> 0"), "o_orderkey")
+    return R.diff(t("orders").filter("o_orderstatus <> 'P'"), t("orders").filter("o_orderpriority <> '5-LOW'"), "o_orderkey")
 
 
 @query("""WITH c AS (SELECT doc_id, count(*) AS n FROM labels GROUP BY 1) SELECT count(*) FILTER (c.n IS NULL) AS missing, count(*) FILTER (d.doc_id IS NULL) AS extra, count(*) FILTER (c.n > 1) AS duplicated, count(*) FILTER (c.n IS NOT NULL AND d.doc_id IS NOT NULL) AS present FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN c USING (doc_id)""")
@@ -343,7 +343,7 @@ def size_bands(t):
     return M.histogram(t("orders"), ["o_custkey"]).withColumn("band", M.size_band(F.col("size")))
 
 
-_BRANDS = [f"Brand#{i}{j}" for i in range(1, 3) for j in range(1, 4)]
+_BRANDS = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]
 
 
 @query("SELECT p_type, " + ", ".join(f"count(*) FILTER (p_brand = '{b}') AS \"{b}\"" for b in _BRANDS) + f" FROM part WHERE p_brand IN ({', '.join(f"'{b}'" for b in _BRANDS)}) GROUP BY p_type HAVING count(*) >= 2 AND count(DISTINCT p_brand) >= 2")
@@ -383,12 +383,11 @@ def split_half(t):
     return M.split_half(t("events"), "user_id", "event_type", 10)
 
 
-_CURVE = "WITH c AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS term FROM documents) GROUP BY term ORDER BY n DESC, term LIMIT 500), k AS (SELECT n::DOUBLE AS y, (row_number() OVER (ORDER BY n DESC, term) - 1)::INTEGER AS i FROM c)"
+_CURVE = f"WITH c AS (SELECT surface AS term, count(*) AS n FROM (SELECT unnest(regexp_extract_all({_MASKED}, '\\b([A-Z]{{2,8}})\\b', 1)) AS surface FROM documents) WHERE surface NOT IN ({_STOP}) GROUP BY 1), k AS (SELECT n::DOUBLE AS y, (row_number() OVER (ORDER BY n DESC, term) - 1)::INTEGER AS i FROM c)"
 
 
 def _curve(t):
-    counts = t("documents").select(F.explode(X.letters3(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), "term").limit(500)
+    return T.frequencies(T.candidates(t("documents"), "doc_id", "text").filter("pattern = 'acronym'")).select(F.col("surface").alias("term"), F.col("n_mentions").alias("n"))
 
 
 @query(_CURVE + " SELECT i, y FROM k, (SELECT max(i) AS x1, max(y) AS y0, min(y) AS y1 FROM k) ORDER BY abs((y1 - y0) * i - x1 * y + x1 * y0) DESC, i LIMIT 1")
@@ -434,18 +433,24 @@ def upper_median_trend(t):
 
 _DOT = "list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda p: p[1]::DOUBLE * p[2]::DOUBLE))"
 _NORM = "sqrt(list_sum(list_transform({x}.embedding, lambda p: p::DOUBLE * p::DOUBLE)))"
+_EXEMPLARS = "(SELECT * FROM embeddings WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label))"
 _COS = f"{_DOT} / ({_NORM.format(x='a')} * {_NORM.format(x='b')})"
 
 
-@query(f"SELECT b.vec_id, round(max({_COS}), 9) AS score FROM embeddings a, embeddings b WHERE a.vec_id < 5 GROUP BY b.vec_id ORDER BY score DESC, b.vec_id LIMIT 10")
+def _exemplars(t):
+    """The first vector of each label: the queries."""
+    return t("embeddings").groupBy("label").agg(F.min_by("embedding", "vec_id").alias("embedding"))
+
+
+@query(f"SELECT b.vec_id, round(max({_COS}), 9) AS score FROM {_EXEMPLARS} a, embeddings b GROUP BY b.vec_id ORDER BY score DESC, b.vec_id LIMIT 10")
 def vector_topk(t):
-    return G.top_k(t("embeddings"), t("embeddings").filter("vec_id < 5"), 10, "vec_id", "embedding").withColumn("score", F.round("score", 9))
+    return G.top_k(t("embeddings"), _exemplars(t), 10, "vec_id", "embedding").withColumn("score", F.round("score", 9))
 
 
-@query(f"""WITH s AS (SELECT b.vec_id, b.label, max({_COS}) AS score FROM embeddings a, embeddings b WHERE a.vec_id < 5 GROUP BY ALL)
+@query(f"""WITH s AS (SELECT b.vec_id, b.label, max({_COS}) AS score FROM {_EXEMPLARS} a, embeddings b GROUP BY ALL)
 SELECT vec_id, label, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS k FROM s) WHERE k <= 3 ORDER BY score DESC, vec_id LIMIT 10""")
 def vector_topk_balanced(t):
-    return G.top_k_balanced(t("embeddings"), t("embeddings").filter("vec_id < 5"), "label", 3, 10, "vec_id", "embedding").withColumn("score", F.round("score", 9))
+    return G.top_k_balanced(t("embeddings"), _exemplars(t), "label", 3, 10, "vec_id", "embedding").withColumn("score", F.round("score", 9))
 
 
 @query(f"SELECT a.vec_id AS a, b.vec_id AS b, round({_COS}, 9) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_COS} >= 0.3")
@@ -481,7 +486,7 @@ def linkage_regions(t):
 
 @query()
 def nn_tour(t):
-    return G.nearest_tour(t("embeddings").filter("vec_id < 50"), "vec_id", "embedding", 0)
+    return G.nearest_tour(t("embeddings"), "vec_id", "embedding", 0)
 
 
 # --- samples, sequences
@@ -620,10 +625,10 @@ def hierarchy_rollup(t):
     return L.rollup_hierarchy(a, parents, themes)
 
 
-@query("""WITH a AS (SELECT user_id, max(event_type) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT user_id, max(event_type) AS w FROM events WHERE event_id % 3 = 0 GROUP BY 1)
+@query("""WITH a AS (SELECT user_id, max(event_type) AS v FROM events WHERE value >= 90 GROUP BY 1), b AS (SELECT user_id, max(event_type) AS w FROM events WHERE value < 5 GROUP BY 1)
 SELECT count(*) FILTER (v IS NOT NULL AND w IS NOT NULL) AS common, count(*) FILTER (v = w) AS equal, count(*) FILTER (w IS NULL) AS only_a, count(*) FILTER (v IS NULL) AS only_b FROM a FULL JOIN b USING (user_id)""")
 def run_comparison(t):
-    a, b = (t("events").filter(f"event_id % {k} = 0").groupBy("user_id").agg(F.max("event_type").alias("v")) for k in (2, 3))
+    a, b = (t("events").filter(w).groupBy("user_id").agg(F.max("event_type").alias("v")) for w in ("value >= 90", "value < 5"))
     return L.compare_runs(a, b, "user_id", "v")
 
 
