@@ -34,7 +34,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/loomspark/{tag}-{uuid.uuid4().hex}"
+    """A path of its own in this application's part of the shared folder, which goes when the application's JVM ends."""
+    run = f"{shared_dir(spark)}/loomspark/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(run)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{run}/{tag}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
