@@ -448,3 +448,30 @@ def test_queries_are_registered():
     names = list(__spark_entry__.queries())
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+def test_attach_deals_out_large_sides(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from loomspark.llm import _shared
+
+    big = spark.createDataFrame([(i, None if i % 3 == 0 else f"k{i % 5}") for i in range(60)], "i int, k string")
+    small = spark.createDataFrame([(None, 0), *[(f"k{i}", i + 1) for i in range(4)]], "k string, v int")
+    for how in ("left", "inner"):
+        plain = sorted(map(str, _shared.attach(big, small, "k", how=how).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(_shared, "BROADCAST_ROWS", 0)
+            dealt = _shared.attach(big, small, "k", how=how)
+            assert sorted(map(str, dealt.collect())) == plain and dealt.columns == ["i", "k", "v"]
+            assert dealt.filter(F.col("k").isNull()).count() == 20
+
+
+def test_native_operators_run_no_python(spark):
+    from loomspark.llm.mixing import mix
+    from loomspark.llm.url_filter import Rule, filter_urls
+
+    df = docs(spark, ["a b", "c"]).select("doc_id", "text", "source")
+    found = filter_urls(df.selectExpr("doc_id page_id", "'http://a/b' url"), [Rule("block", "a", "/")])
+    for out in (mix(df), found):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
