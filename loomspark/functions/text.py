@@ -15,7 +15,7 @@ ACRONYM_STOP = (
 ).split()
 TITLE_STOP_PREFIXES = ("Page ", "Figure ", "Table ", "Section ", "Chapter ", "Appendix ", "Note ", "Reference ")
 TITLE_CONNECTORS = ("of", "and", "the", "in", "for", "to", "on", "at", "&", "de", "von", "van")
-NAME_STOP = ("project the a and & demonstration demo programme program phase 1 2 3 i ii iii pilot trial study australia australian arena energy power renewable renewables").split()
+NAME_STOP = ("project the a and & demonstration demo programme program phase 1 2 3 i ii iii pilot trial study energy power renewable renewables").split()
 ROLES = (
     ("overview", r"executive\s+summary|summary(\s+and\s+recommendations)?|overview|key\s+points"),
     ("recommendation", r"recommendations?"),
@@ -54,10 +54,10 @@ def passes_title_filter(surface: Column) -> Column:
     return ok
 
 
-def normalise_name(name: Column) -> Column:
-    """Lower case, brackets and dashes to blanks, filler words out, blanks squeezed."""
+def normalise_name(name: Column, more: tuple[str, ...] = ()) -> Column:
+    """Lower case, brackets and dashes to blanks, filler words out (``more``: those of the corpus, such as its country and funder), blanks squeezed."""
     out = F.regexp_replace(F.lower(name), r"[()\[\]\-–—/]", " ")
-    for w in NAME_STOP:
+    for w in (*NAME_STOP, *more):
         out = F.regexp_replace(out, rf"(?U)\b{w}\b", "")
     return squeeze(out)
 
