@@ -5,7 +5,7 @@ A byte goes where it is covered by a string of ``length`` bytes that also starts
 1. Every window of ``length`` bytes has an anchor, its smallest GRAM-byte hash (the leftmost of equals), which depends on the window's
    bytes alone; consecutive windows with one anchor are a segment. Equal windows lie in segments with equal anchors at equal
    offsets, so segments meet by anchor hash. Segments equal in whole are repeated in whole, and one of them stands for all.
-2. Where segments with one anchor differ, their bytes are sorted out by suffix order. A task takes a few MB of segments in shards; each
+2. Where segments with one anchor differ, their bytes are sorted out by suffix order. A task takes a MB of segments in shards; each
    shard has a Burrows-Wheeler transform over an alphabet of STEP-byte symbols (the symbol STEP bytes before each suffix, in the order of the suffixes' first
    ``length`` bytes). The shards' transforms are merged by refining their interleave (Holt and McMillan, 2014): in round j the
    interleave is right for the first j symbols, and carrying it through the transforms makes it right for j + 1; where a border between
@@ -37,9 +37,9 @@ from .jaccard import _mix
 
 GRAM, STEP = 200, 50
 #: Bytes of a text handled at once; of entries a task of the exchange gets about; of segments a merging task and one of its shards get about.
-CHUNK, EXCHANGE, TASK, SHARD = 4 << 20, 48 << 20, 4 << 20, 1 << 20
+CHUNK, EXCHANGE, TASK, SHARD = 1 << 20, 32 << 20, 1 << 20, 256 << 10
 #: Different segments under one anchor up to which they are merged in one task.
-MANY = 1000
+MANY = 400
 _SPAN = 9  # bits of a packed place that hold the number of windows less one, and whether the entry stands for several
 
 
@@ -120,9 +120,8 @@ def _exchange(entries: DataFrame, deals: int, many: int) -> DataFrame:
     apart (place, anchor; 2 x n), under an anchor with few or with many different ones. entries: (entries, found) binary."""
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            e = np.concatenate([np.zeros((5, 0), np.int64), *(np.frombuffer(x, np.int64).reshape(5, -1) for x in batch.column(0).to_pylist())], axis=1)
-            kept, found = collapse(e)
+        for cell in (x for batch in batches for x in batch.column(0)):
+            kept, found = collapse(np.frombuffer(cell.as_buffer(), np.int64).reshape(5, -1))
             to, found_to = (kept[0].view(np.uint64) % np.uint64(deals)).astype(np.int64), (found[0].view(np.uint64) % np.uint64(deals)).astype(np.int64)
             out = [(d, kept[:, to == d].tobytes(), found[:, found_to == d].tobytes()) for d in range(deals)]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["deal", "entries", "found"])
@@ -263,7 +262,7 @@ def repeats(docs: DataFrame, length: int = 400, text: str = "text") -> DataFrame
                 for anchor, content, s, e in segments(t.as_py().encode("utf-8", "replace"), length, powers):
                     held.append(np.stack([anchor.view(np.int64), content.view(np.int64), np.full(len(s), high), np.full(len(s), low), _places(s, e)]))
                     rows += len(s)
-                if rows > 500_000:
+                if rows > 100_000:
                     yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(held, axis=1).tobytes()], pa.binary())], ["entries"])
                     held, rows = [], 0
             if held:
