@@ -196,6 +196,7 @@ def read_archives(spark: SparkSession, files: DataFrame, verify: bool = True, co
                     yield _with(rows, bodies, content)
 
     names = files.select("file").distinct()
+    names = names.repartition(max(1, names.count()), "file")  # a few names, but each is an archive to read
     return names.mapInArrow(run, INDEX + (", payload binary" if content else ""))
 
 
@@ -234,7 +235,8 @@ def resolve_revisits(index: DataFrame, folder: str, least: int = 1000) -> DataFr
         out.close()
         return pa.table({"file": pa.array(sorted(files), pa.string())})
 
-    return written(decided.groupBy("file").applyInArrow(copy, "file string"), "warc-files")
+    archives = index.select("file").distinct().count()
+    return written(decided.repartition(max(1, archives), "file").groupBy("file").applyInArrow(copy, "file string"), "warc-files")
 
 
 def archive_round_trip(pages: DataFrame, least: int = 1000, **columns: str) -> DataFrame:
