@@ -204,7 +204,7 @@ class ChunkTable:
     ``check``-th is also encoded by the library, and a difference is an error.
     """
 
-    def __init__(self, path: str, entries: int = 800_000, longest: int = 64, check: int = 8):
+    def __init__(self, path: str, entries: int = 500_000, longest: int = 64, check: int = 8):
         from sentencepiece import SentencePieceProcessor
 
         self.vocabulary, self.library = MergeVocabulary(path), SentencePieceProcessor(model_file=path)
