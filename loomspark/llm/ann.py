@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 Each table rotates the unit vectors by three rounds of random signs and a fast Hadamard transform and hashes them to the
-nearest signed axis; with many rows a table joins several such hashes. Every row is in every table. A query looks into
+nearest signed axis; with many rows a table may join several such hashes. Every row is in every table. A query looks into
 the cells of its nearest axes (multiprobe), and each cell ranks its rows exactly, by distance between the original
-vectors; the tables' findings are merged. Cells larger than CELL rows are dealt into parts, queries of one cell likewise,
+vectors; the tables' findings are merged. How many hashes and probes is chosen on the table itself: some queries are ranked
+against all rows, and of the choices that find RECALL of their neighbours the one with the least work is taken. Cells larger than CELL rows are dealt into parts, queries of one cell likewise,
 so neither a common vector nor a popular cell makes a large task. Queries that find fewer than k rows are searched
 against all cells of one table, which is all rows.
 
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 from ._shared import attach, written
 from ._vectors import matrix, packed
 
-#: Rows of a cell, and queries, that meet in one task at most, about; rows a cell should have, which sets the hashes a table.
+#: Rows of a cell, and queries, that meet in one task at most, about; rows a cell should have, which bounds the hashes a table.
 CELL, ASKED, AIM = 8192, 1024, 400
+#: Share of the nearest rows to be found; queries, and rows, by which the choice is made; rows that are ranked in the time a query is sent to a cell.
+RECALL, TRIED, SAMPLE, COPY = 0.95, 100, 1000, 100
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -80,8 +83,63 @@ def nearest(q: np.ndarray, q_id: int, v: np.ndarray, ids: np.ndarray, squares: n
     return some[order], exact[order]
 
 
+def probes_needed(asks: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Probes a hash with which each query looks into a cell of each row: queries x rows, for 1, 2, ... hashes. As axes() gives them."""
+    places = np.empty(asks.shape, np.int32)
+    np.put_along_axis(places, np.argsort(-asks, axis=3), np.arange(asks.shape[3], dtype=np.int32), 3)
+    own = rows.argmax(3)
+    out = np.empty((asks.shape[2], len(asks), len(rows)), np.int32)
+    for q in range(len(asks)):
+        at = np.take_along_axis(places[q][None], own[..., None], 3)[..., 0]  # rows x tables x hashes
+        out[:, q] = np.maximum.accumulate(at, axis=2).min(1).T + 1
+    return out
+
+
+def chosen(own: DataFrame, rows: int, dim: int, k: int, query_every: int, tables: int, probes: int, hashes: int, seed: int) -> tuple[int, int]:
+    """Hashes (at most ``hashes``) and probes (at least ``probes``) that find RECALL of the neighbours of some queries, for the least work."""
+    asks = own.filter(F.col("vec_id") % query_every == 0).orderBy(F.xxhash64("vec_id"), "vec_id", "v").select("vec_id", "v").limit(TRIED).toArrow()
+    if not len(asks):
+        return 1, probes
+    ids, q = asks.column("vec_id").to_pylist(), matrix(asks.column("v"), dim)
+
+    def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k nearest rows of each query among a task's."""
+        best: list = [(np.empty(0, np.int64), np.empty((0, dim)))] * len(ids)
+        for batch in batches:
+            own_ids, v = np.array(batch.column(0)), matrix(batch.column(1), dim)
+            squares = (v * v).sum(1)
+            for n, (i, x) in enumerate(zip(ids, q, strict=True)):
+                some, _ = nearest(x, i, v, own_ids, squares, k)
+                all_ids, all_v = np.concatenate([best[n][0], own_ids[some]]), np.concatenate([best[n][1], v[some]])
+                some, _ = nearest(x, i, all_v, all_ids, (all_v * all_v).sum(1), k)
+                best[n] = all_ids[some], all_v[some]
+        for n, (x, (found, v)) in enumerate(zip(q, best, strict=True)):
+            score = np.sqrt(((v - x) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(found), pa.int32()), pa.array(found, pa.int64()), pa.array([y.tobytes() for y in v], pa.binary()), pa.array(score, pa.float64())], ["n", "vec_id", "v", "score"])
+
+    order = Window.partitionBy("n").orderBy("score", "vec_id")
+    near = own.select("vec_id", "v").mapInArrow(closest, "n int, vec_id long, v binary, score double").distinct()
+    near = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("n", "v").toArrow()
+    if not len(near):
+        return 1, probes
+    some = own.orderBy(F.xxhash64("vec_id", F.lit(5)), "vec_id", "v").select("v").limit(SAMPLE).toArrow()
+
+    def hashed(v: np.ndarray) -> np.ndarray:
+        return axes(v / np.sqrt((v * v).sum(1))[:, None], tables, hashes, seed)
+
+    x, of = hashed(q), np.array(near.column("n"))
+    pairs = hashed(matrix(near.column("v"), dim))
+    true = np.concatenate([probes_needed(x[n : n + 1], pairs[of == n])[:, 0] for n in range(len(ids))], axis=1)
+    any_row = probes_needed(x, hashed(matrix(some.column("v"), dim)))
+    found = []
+    for h in range(hashes):
+        p = max(probes, int(np.sort(true[h])[math.ceil(RECALL * true.shape[1]) - 1]))
+        found.append(((any_row[h] <= p).mean() * rows + COPY * tables * float(p) ** (h + 1), h + 1, p))
+    return min(found)[1:]
+
+
 def search(vectors: DataFrame, k: int, query_every: int, tables: int = 16, probes: int = 6, seed: int = 7, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows found, by Euclidean distance, of each row whose id divides by ``query_every``."""
+    """(query_id, rank, vec_id, score): the k nearest rows found, by Euclidean distance, of each row whose id divides by ``query_every``; ``probes`` or more."""
     spark = vectors.sparkSession
     own = written(packed(vectors, id, vector, zero=False), "ann-vectors")
     rows, dim = own.agg(F.count("*"), F.max("dim")).first()
@@ -89,6 +147,7 @@ def search(vectors: DataFrame, k: int, query_every: int, tables: int = 16, probe
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width = 1 << max(0, dim - 1).bit_length()
     hashes = max(1, round(math.log(max(1, rows / AIM), 2 * width)))
+    hashes, probes = chosen(own, rows, dim, k, query_every, tables, probes, hashes, seed)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row a vector and table: its cell; for a query also the cells to look into, else none."""

@@ -229,6 +229,21 @@ def test_ann_few(spark):
     assert sorted(r.vec_id for r in got) == [1, 2, 3]
 
 
+def test_ann_recall_with_several_hashes(spark, monkeypatch):
+    from loomspark.llm import ann
+
+    monkeypatch.setattr(ann, "AIM", 1)
+    monkeypatch.setattr(ann, "COPY", 0, raising=False)
+    rows = random_vectors(3000, 64, spread=0.0)
+    seen, chosen = [], getattr(ann, "chosen", None)
+    monkeypatch.setattr(ann, "chosen", lambda *a: seen.append(chosen(*a)) or seen[-1], raising=False)
+    got = {(r.query_id, r.vec_id) for r in ann.search(vectors(spark, rows).repartition(3), 10, 50).collect()}
+    m = np.array([r[1] for r in rows])
+    want = {(q, int(j)) for q in range(0, 3000, 50) for j in np.argsort(((m - m[q]) ** 2).sum(1), kind="stable")[1:11]}
+    assert len(got & want) >= 0.93 * len(want)
+    assert seen[0][0] == 2
+
+
 # --- repeated strings
 
 
