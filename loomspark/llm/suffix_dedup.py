@@ -14,7 +14,7 @@ A byte goes where it is covered by a string of ``length`` bytes that also starts
 3. Under an anchor with more than MANY different segments, which would make a large task, each window is a segment of its own
    and goes through step 1 by its own hash: equal windows are then counted, with copies joined before they are sent.
 
-Texts are known by digest, so copies of a text share one result. Documents without repeated segments never move.
+Texts are known by digest, so copies of a text share one result: past step 1, one of them is sent and merged, and each place is held once. Documents without repeated segments never move.
 
 Defined cases: null and empty texts have 0 bytes and nothing removed; texts shorter than ``length`` keep all; repeated rows repeat each other,
 so rows of ``length`` bytes and more lose everything; null ids are passed through; an empty table gives an empty table.
@@ -98,13 +98,25 @@ def collapse(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     own = np.repeat(several, np.diff(np.r_[at, e.shape[1]])) & (e[4] & 1 == 0)
     kept = e[:, at].copy()
     kept[4] |= several
-    return kept, e[2:, own]
+    return kept, _distinct(e[2:, own])
+
+
+def _distinct(found: np.ndarray) -> np.ndarray:
+    """Columns of (text high, text low, place), one of equal ones: copies of a text give the same."""
+    found = found[:, np.lexsort((found[2], found[1], found[0]))]
+    return found[:, np.r_[True, (found[:, 1:] != found[:, :-1]).any(0)][: found.shape[1]]]
 
 
 def _places(s: np.ndarray, e: np.ndarray) -> np.ndarray:
     return (s.astype(np.int64) << _SPAN) | ((e - s).astype(np.int64) << 1)
 
 
+def segment_bytes(places: bytes, length: int) -> int:
+    """Bytes of the segments at packed (places, anchors)."""
+    p = np.frombuffer(places, np.int64).reshape(2, -1)[0]
+    return int((p >> 1 & (1 << _SPAN - 1) - 1).sum()) + length * len(p)
+
+
 def _by_text(found: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
     """Text key and packed columns of each text among (text high, text low, more ...)."""
     if not found.shape[1]:
@@ -115,9 +127,9 @@ def _by_text(found: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
         yield found[:2, a].tobytes(), found[2:, a:b].tobytes()
 
 
-def _exchange(entries: DataFrame, deals: int, many: int) -> DataFrame:
+def _exchange(entries: DataFrame, deals: int, many: int, length: int) -> DataFrame:
     """Rows (text binary, kind, places binary): kind 0 are places repeated in whole (1 x n); 1 and 2 are segments still to be told
-    apart (place, anchor; 2 x n), under an anchor with few or with many different ones. entries: (entries, found) binary."""
+    apart (place, anchor; 2 x n), under an anchor with few or with many different ones. entries: (entries, found) binary. size: bytes of the segments."""
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in (x for batch in batches for x in batch.column(0)):
@@ -130,16 +142,16 @@ def _exchange(entries: DataFrame, deals: int, many: int) -> DataFrame:
         e = np.concatenate([np.frombuffer(x, np.int64).reshape(5, -1) for x in group.column("entries").to_pylist()], axis=1)
         old = np.concatenate([np.frombuffer(x, np.int64).reshape(3, -1) for x in group.column("found").to_pylist()], axis=1)
         kept, found = collapse(e)
-        rows = [(t, 0, p) for t, p in _by_text(np.concatenate([old, found], axis=1))]
+        rows = [(t, 0, p, 0) for t, p in _by_text(_distinct(np.concatenate([old, found], axis=1)))]
         if kept.shape[1] and many:
             at = np.flatnonzero(np.r_[True, kept[0, 1:] != kept[0, :-1]])
             size = np.diff(np.r_[at, kept.shape[1]])
             size = np.repeat(size, size)
             for kind, own in ((1, (size > 1) & (size <= many)), (2, size > many)):
-                rows += [(t, kind, p) for t, p in _by_text(kept[:, own][[2, 3, 4, 0]])]
-        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.binary(), pa.int32(), pa.binary()))], ["text_key", "kind", "places"])
+                rows += [(t, kind, p, segment_bytes(p, length)) for t, p in _by_text(kept[:, own][[2, 3, 4, 0]])]
+        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.binary(), pa.int32(), pa.binary(), pa.int64()))], ["text_key", "kind", "places", "size"])
 
-    return entries.mapInArrow(dealt, "deal int, entries binary, found binary").groupBy("deal").applyInArrow(met, "text_key binary, kind int, places binary")
+    return entries.mapInArrow(dealt, "deal int, entries binary, found binary").groupBy("deal").applyInArrow(met, "text_key binary, kind int, places binary, size long")
 
 
 class ShardTransform:
@@ -172,8 +184,9 @@ def merge_transforms(shards: list[ShardTransform], symbols: list[np.ndarray], ro
     sizes = [len(s.before) for s in shards]
     # Suffixes without a symbol ahead (past the segments' ends) start every round as they are: one symbol each, equal to no other.
     end_symbol = np.concatenate([y[s.ends] for s, y in zip(shards, symbols, strict=True)])
-    end_shard = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.ends) for s in shards])
-    mixed = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
+    number = np.arange(len(shards), dtype=np.min_scalar_type(len(shards)))  # 8 and 16 bits sort fastest
+    end_shard = np.repeat(number, [len(s.ends) for s in shards])
+    mixed = np.repeat(number, sizes)
     block = np.zeros(len(mixed), np.int64)
     common = np.full(len(mixed), rounds, np.int16)
     common[:1] = 0
@@ -269,12 +282,13 @@ def repeats(docs: DataFrame, length: int = 400, text: str = "text") -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(held, axis=1).tobytes()], pa.binary())], ["entries"])
 
     deals = max(4, math.ceil(size * 40 / (length - GRAM) * 2 / EXCHANGE))
-    found = written(_exchange(texts.mapInArrow(cut, "entries binary"), deals, MANY), "suffix-segments")
+    found = written(_exchange(texts.mapInArrow(cut, "entries binary"), deals, MANY, length), "suffix-segments")
     unsure = found.filter("kind > 0").groupBy("text_key", "kind").agg(F.collect_list("places").alias("places"))
     unsure = written(unsure, "suffix-unsure")
-    own = texts.join(unsure, "text_key").select("text_key", "text", "kind", "places")
-    volume = found.filter("kind = 1").agg(F.sum(F.length("places"))).first()[0] or 0
-    tasks = max(1, math.ceil(volume / 16 * (length + 100) / TASK))
+    # One of the copies of a text stands for all: its segments that other copies hold are marked as repeated.
+    own = texts.groupBy("text_key").agg(F.first("text").alias("text")).join(unsure, "text_key").select("text_key", "text", "kind", "places")
+    volume = found.filter("kind = 1").agg(F.sum("size")).first()[0] or 0
+    tasks = max(1, math.ceil(volume / TASK))
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of segments under anchors with few different ones, dealt by anchor."""
@@ -329,7 +343,7 @@ def repeats(docs: DataFrame, length: int = 400, text: str = "text") -> DataFrame
     crowds = found.filter("kind = 2").agg(F.sum(F.length("places"))).first()[0] or 0
     all_found = found.filter("kind = 0").select("text_key", "places").unionByName(few)
     if crowds:
-        many = _exchange(own.filter("kind = 2").mapInArrow(single, "entries binary"), max(1, math.ceil(crowds / 16 * 100 * 40 / EXCHANGE)), 0)
+        many = _exchange(own.filter("kind = 2").mapInArrow(single, "entries binary"), max(1, math.ceil(crowds / 16 * 100 * 40 / EXCHANGE)), 0, length)
         all_found = all_found.unionByName(many.select("text_key", "places"))
     return all_found.groupBy("text_key").agg(F.collect_list("places").alias("places"))
 

@@ -295,6 +295,39 @@ def test_merged_transforms_equal_sorting():
     assert (again == want).all()
 
 
+def test_suffix_dedup_copies_are_sent_once(spark, monkeypatch):
+    from loomspark.llm import suffix_dedup
+
+    rnd = random.Random(6)
+    base = words(rnd, 500)
+    texts = [base] * 40 + [base[:700] + "x" + base[700:]] * 30 + [words(rnd, 200) + base[300:900]]
+    merge = suffix_dedup.repeated_windows
+
+    def checked(parts, *a):
+        assert len(set(parts)) == len(parts)
+        return merge(parts, *a)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", checked)
+    for many in (1000, 1):
+        monkeypatch.setattr(suffix_dedup, "MANY", many)
+        df = docs(spark, texts)
+        held = [np.concatenate([np.frombuffer(x, np.int64) for x in r.places]) for r in suffix_dedup.repeats(df).collect()]
+        assert len(held) == 3 and all(len(set(p.tolist())) == len(p) for p in held)
+        got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(df).collect()}
+        assert [got[i] for i in range(len(texts))] == removed_brute(texts, 400)
+
+
+def test_merged_transforms_of_many_shards(monkeypatch):
+    from loomspark.llm import suffix_dedup as s
+
+    monkeypatch.setattr(s, "SHARD", 400)
+    rng = np.random.default_rng(4)
+    parts = [bytes(rng.integers(97, 123, 420, dtype=np.uint8)) for _ in range(300)]
+    parts.append(parts[7][5:415])
+    again = s.repeated_windows(parts, 400, s.Powers(2), s.Powers(3))
+    assert again.sum() == 22
+
+
 # --- lines
 
 
