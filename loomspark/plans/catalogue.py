@@ -135,13 +135,16 @@ def regex_density(t):
 @query("""SELECT item_id, doc_id, md5(substr(d.text, greatest(p - 1 - 300, 0) + 1, least(length(d.text), p - 1 + length(e) + 300) - greatest(p - 1 - 300, 0))) AS window_md5
 FROM (SELECT item_id, doc_id, d.text, trim(b.text) AS e, instr(lower(d.text), lower(left(trim(b.text), 60))) AS p FROM benchmark b JOIN documents d ON instr(lower(d.text), lower(left(trim(b.text), 60))) > 0) d WHERE length(e) >= 20""")
 def excerpt_window(t):
-    # A document can only hold an excerpt if it holds the excerpt's first long word: an equi-join before the search.
-    items = t("benchmark").select("item_id", F.col("text").alias("e")).withColumn("head", F.lower(F.left(F.trim("e"), F.lit(60))))
-    keyed = items.withColumn("k", F.get(F.split("head", r"\s+"), F.lit(1)))
+    # A document can only hold a head of three words or more if it holds the second, which stands between white space: an equi-join
+    # before the search. Shorter heads are searched in every document.
+    items = t("benchmark").select("item_id", F.col("text").alias("e")).withColumn("head", F.lower(F.left(F.trim("e"), F.lit(60)))).filter(F.length(F.trim("e")) >= 20)
+    parted = items.withColumn("ws", F.split("head", r"\s+"))
+    keyed, short = parted.filter(F.size("ws") >= 3).withColumn("k", F.get("ws", F.lit(1))), parted.filter(F.size("ws") < 3).select("item_id", "head")
     docs = t("documents").select("doc_id", "text")
     words = docs.select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("w"))
-    hits = words.join(keyed.select("item_id", "k"), F.col("w") == F.col("k")).select("doc_id", "item_id").distinct()
-    met = hits.join(docs, "doc_id").join(items, "item_id").filter((F.position("head", F.lower("text")) > 0) & (F.length(F.trim("e")) >= 20))
+    hits = words.join(keyed.select("item_id", "k"), F.col("w") == F.col("k")).select("doc_id", "item_id")
+    hits = hits.unionByName(docs.join(F.broadcast(short), F.position("head", F.lower("text")) > 0).select("doc_id", "item_id")).distinct()
+    met = hits.join(docs, "doc_id").join(items, "item_id").filter(F.position("head", F.lower("text")) > 0)
     window = X.context_window(F.col("text"), F.col("e"), F.lit(None).cast("int"), F.lit(None).cast("string"), 300, 4000)
     return met.select("item_id", "doc_id", F.md5(window).alias("window_md5"))
 

@@ -268,3 +268,15 @@ def test_glossary(spark):
     files = spark.createDataFrame([("a_b", "/1"), ("c", "/2")], "key string, path string")
     found = L.resolve(rows, [(F.col("title"), files, "key"), (X.slug(F.col("title")), files, "key")], "path")
     assert {r.title: r.path for r in found.collect()} == {"A b": "/1", "c": "/2", "z": None}
+
+
+def test_excerpts_of_few_words_are_found(spark, tmp_path):
+    from loomspark.plans import catalogue
+
+    cjk, url = "文" * 30, "https://example.org/" + "a" * 50
+    texts = [f"前{cjk}後", f"see({url})", "x longer-than-twenty characters, yes", "nothing", "one two three four five six"]
+    excerpts = [cjk, url, "longer-than-twenty characters", "two three four five six", "too short"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(excerpts)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = catalogue.QUERIES["excerpt_window"](spark, str(tmp_path)).collect()
+    assert {(r.item_id, r.doc_id) for r in found} == {(0, 0), (1, 1), (2, 2), (3, 4)} and len(found) == 4
