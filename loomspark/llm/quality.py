@@ -126,6 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, samples: Samples = Samples(), doc_id
     marks = labels.select(F.col(doc_id).alias("id"), F.col(label).alias("label")).filter(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
     marks = marks.groupBy("id").agg(F.min("label").cast("int").alias("label"))
     order = F.xxhash64(F.lit(samples.seed), "id")
+    n_marks, n_good = marks.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    prior = float(np.clip((n_good + 1) / (n_marks + 2), 0.02, 0.98)) if n_marks else 0.5
 
     def first(df: DataFrame, n: int, use: str) -> DataFrame:
         return df.orderBy(order, "id").limit(n).withColumn("use", F.lit(use))
@@ -149,7 +151,6 @@ def fit(docs: DataFrame, labels: DataFrame, samples: Samples = Samples(), doc_id
         order = np.lexsort((x[:, :256].sum(1), use, ids))  # whatever the order rows come in
         x, use, label = x[order].astype(np.float64), use[order], label[order]
         marked = label[use == "l"]
-        prior = float(np.clip((marked.sum() + 1) / (len(marked) + 2), 0.02, 0.98)) if len(marked) else 0.5
         out = np.zeros(WIDTH + 2)
         out[-2:] = 1.0, np.log(prior / (1 - prior))
         if (use == "p").any() and (use == "u").any():

@@ -458,6 +458,18 @@ def test_quality_odd_tables(spark):
     assert classify(docs(spark, []), none).count() == 0
 
 
+def test_quality_prior_is_of_all_labels(spark):
+    from pyspark.sql import functions as F
+
+    from loomspark.llm.quality import Samples, fit, held_out
+
+    labels = spark.createDataFrame([(i, int(i % 10 == 0), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    learnt = [r.quality for r in labels.filter(~held_out(F.col("doc_id"))).collect()]
+    prior = (sum(learnt) + 1) / (len(learnt) + 2)
+    found = fit(docs(spark, ["some text"] * 400), labels, Samples(unlabelled=0, labelled=3))
+    assert math.isclose(found[-1], math.log(prior / (1 - prior)))
+
+
 # --- pipeline
 
 
