@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +85,56 @@ def attach(big: DataFrame, small: DataFrame, key: str, rows: int | None = None,
 def word_count(text: Column) -> Column:
     """Number of maximal runs outside ASCII white space; null: 0."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def release() -> None:
+    """Give the memory a Python worker has freed back to the machine: idle workers stay beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to trim
+        pass
+
+
+def lean(run: Callable) -> Callable:
+    """A function for mapInArrow or applyInArrow that gives its memory back when it ends."""
+
+    def whole(data):
+        if isinstance(data, pa.Table):
+            try:
+                return run(data)
+            finally:
+                release()
+        return stream(data)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
+def slices(texts: pa.Array, size: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of rows with some MB of text, one row at least, whatever the rows a batch has."""
+    start = held = 0
+    for k, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
+        held += n or 0
+        if held > size:
+            yield start, k + 1
+            start, held = k + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def by_deal(**held: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    """Columns (as bytes) of each packed table, given with the deal of each of its columns: a row for each deal that has any."""
+    packed: dict[str, dict[int, bytes]] = {}
+    for name, (to, columns) in held.items():
+        order = np.argsort(to, kind="stable")
+        to, columns = to[order], columns[:, order]
+        at = np.flatnonzero(np.r_[True, to[1:] != to[:-1]][: len(to)])
+        packed[name] = {int(to[a]): columns[:, a:b].tobytes() for a, b in zip(at, [*at[1:], len(to)], strict=True)} if len(to) else {}
+    deals = sorted(set().union(*packed.values()))
+    return pa.RecordBatch.from_arrays([pa.array(deals, pa.int32()), *(pa.array([own.get(d, b"") for d in deals], pa.binary()) for own in packed.values())], ["deal", *packed])

@@ -3,9 +3,9 @@
 The encoder keeps an agenda of adjacent symbol pairs ordered by piece score, as the vocabulary's library does. No piece
 of such a vocabulary holds the space mark after another character, so a text falls apart, exactly, into chunks of one or
 more space marks and the characters up to the next mark; equal chunks are merged once per worker and remembered in a
-bounded table. Of the chunks new to a worker every eighth has its ids compared with those of the sentencepiece library,
-and a difference ends the job; decoded text is not compared. A vocabulary without that property is handled in whole texts,
-unchecked.
+bounded table. Every chunk new to that table has its ids compared with those of the sentencepiece library, which also
+decodes them; of every slice of an Arrow batch (some MB) one whole text is encoded and decoded by the library and compared as well. A
+difference ends the job. A vocabulary without that property is handled, and compared, in whole texts.
 
 Defined cases: null is the empty text; the empty text has no ids, and decodes to itself; repeated rows are encoded row
 by row; other columns are passed through; a column name already present is an error, not overwritten.
@@ -23,12 +23,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ._shared import lean, slices
+
 MARK = "▁"
 NORMAL, UNKNOWN, USER, UNUSED, BYTE = 1, 2, 4, 5, 6
 #: Chunks of up to so many characters are merged side by side; longer ones singly.
 WIDTHS = (6, 10, 16, 32)
 
 
+class Slots:
+    """Places of distinct keys (0 or more) by open addressing, for many look-ups at once."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, (8 * len(keys)).bit_length())
+        self.shift, self.mask, self.none = np.uint64(64 - bits), (1 << bits) - 1, len(keys)
+        self.keys, self.places = np.full(1 << bits, -1, np.int64), np.full(1 << bits, self.none, np.int32)
+        left, at = np.arange(len(keys)), self._home(keys)
+        while len(left):
+            free = np.flatnonzero(self.keys[at] == -1)
+            slot, first = np.unique(at[free], return_index=True)
+            self.keys[slot], self.places[slot] = keys[left[free[first]]], left[free[first]]
+            rest = np.delete(np.arange(len(left)), free[first])
+            left, at = left[rest], at[rest] + 1 & self.mask
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, the number of keys where it is none (so for -1)."""
+        at = self._home(keys)
+        held = self.keys[at]
+        out = self.places[at]
+        out[held != keys] = self.none
+        on = np.flatnonzero((held != keys) & (held != -1) & (keys != -1))
+        while len(on):
+            at[on] = at[on] + 1 & self.mask
+            held = self.keys[at[on]]
+            hit = held == keys[on]
+            out[on[hit]] = self.places[at[on[hit]]]
+            on = on[~hit & (held != -1)]
+        return out
+
+
 class MergeVocabulary:
     """A merge-type SentencePiece model: encode by score-ordered agenda, decode by pieces and bytes."""
 
@@ -86,7 +122,7 @@ class MergeVocabulary:
 
     def merge_all(self, chunks: list[str], width: int) -> list[list[int]]:
         """merge() of many chunks of at most ``width`` characters at once: each round takes the head of every agenda."""
-        keys, ranks, made = self.pairs()
+        slots, ranks, made = self.pairs()
         none = len(ranks)
         held = np.full((len(chunks), width + 1), -1, np.int32)
         points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -96,8 +132,7 @@ class MergeVocabulary:
 
         def look(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             want = np.where((a >= 0) & (b >= 0), a.astype(np.int64) * v + b, -1)
-            at = np.searchsorted(keys, want)
-            return np.where(keys[np.minimum(at, none - 1)] == want, at, none).astype(np.int32)
+            return slots.find(want.ravel()).reshape(want.shape)
 
         best = np.append(ranks, np.iinfo(np.int32).max).astype(np.int32)
         agenda = np.full((len(chunks), width + 1), none, np.int32)
@@ -135,13 +170,14 @@ class MergeVocabulary:
             out[k] = ids
         return out
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted keys of the pairs that merge, the score rank of the piece each makes (equal scores: equal rank), its id."""
+    def pairs(self) -> tuple[Slots, np.ndarray, np.ndarray]:
+        """Table of the pairs that merge, the score rank of the piece each makes (equal scores: equal rank), its id."""
         if self._pairs is None:
             v, known = len(self.texts), self.merges
             rank = {s: k for k, s in enumerate(sorted({s for s, _ in known.values()}))}
             found = sorted((known[p[:k]][1] * v + known[p[k:]][1], rank[s], i) for p, (s, i) in known.items() for k in range(1, len(p)) if p[:k] in known and p[k:] in known)
-            self._pairs = tuple(np.array(x, np.int64) for x in zip(*found, strict=True))
+            key, ranks, made = (np.array(x, np.int64) for x in zip(*found, strict=True))
+            self._pairs = Slots(key), ranks, made
             self.symbols = -2 - np.arange(0x110000, dtype=np.int32)  # of each character: its piece, or a negative name
             for p, (_, i) in known.items():
                 if len(p) == 1:
@@ -201,24 +237,22 @@ def _singly(run: bytes) -> Iterator[tuple[str, int]]:
 class ChunkTable:
     """Per worker: the ids of each chunk met so far, bounded; a chunk goes by its characters after its first space mark.
 
-    ``odd`` holds the chunks whose ids do not decode to the chunk itself. Of the chunks learnt in a batch every
-    ``check``-th is also encoded by the library, and a difference is an error.
+    ``odd`` holds the chunks that the library decodes from their ids to anything but themselves. ``entries`` bounds both tables, give or
+    take the chunks of one slice; chunks of more than ``longest`` characters are not kept.
     """
 
-    def __init__(self, path: str, entries: int = 500_000, longest: int = 64, check: int = 8):
+    def __init__(self, path: str, entries: int = 500_000, longest: int = 64):
         from sentencepiece import SentencePieceProcessor
 
         self.vocabulary, self.library = MergeVocabulary(path), SentencePieceProcessor(model_file=path)
-        self.entries, self.longest, self.check = entries, longest, check
-        kinds, texts = self.vocabulary.kinds, self.vocabulary.texts
-        self.numbers, self.pieces = [str(i) for i in range(len(texts))], [p.replace(MARK, " ") for p in texts]
-        self.plain = next(i for i in range(len(kinds) + 1) if all(k == NORMAL for k in kinds[i:]))  # ids from here on are their own text
+        self.entries, self.longest = entries, longest
+        self.numbers = [str(i) for i in range(len(self.vocabulary.texts))]
         self.ids: dict[str, str] = {}
         self.odd: dict[str, str] = {}
 
     def learn(self, names: list[str]) -> dict[str, str]:
-        """Ids of chunks that the table lacks; all but very long ones are also put into it."""
-        v, number, piece, plain = self.vocabulary, self.numbers.__getitem__, self.pieces.__getitem__, self.plain
+        """Ids of chunks that the table lacks, each compared with the library; all but very long ones are also put into it."""
+        v, number = self.vocabulary, self.numbers.__getitem__
         found: dict[str, str] = {}
         by_width: dict[int, list[str]] = {}
         for c in names:
@@ -228,18 +262,17 @@ class ChunkTable:
             for at in range(0, len(group), 20_000):
                 part = group[at : at + 20_000]
                 mine = v.merge_all([MARK + c for c in part], width) if width else [v.merge(MARK + c) for c in part]
-                checked = [k for k in range(0, len(part), self.check) if part[k]]
-                for k, theirs in zip(checked, self.library.encode([part[k].replace(MARK, " ") for k in checked], num_threads=1), strict=True):
-                    if mine[k] != theirs:
-                        raise AssertionError(f"ids differ from the library's for {part[k]!r}: {mine[k]}, {theirs}")
-                for c, ids in zip(part, mine, strict=True):
+                said = [c.replace(MARK, " ") for c in part]
+                theirs = self.library.encode(said, num_threads=1)
+                if mine != theirs:
+                    for c, ids, other in zip(part, mine, theirs, strict=True):
+                        if c:  # a lone mark is a text of its own for no one
+                            same(c, ids, other)
+                for c, ids, text, back in zip(part, mine, said, self.library.decode(mine), strict=True):
                     found[c] = ",".join(map(number, ids))
-                    text = "".join(map(piece, ids)) if min(ids) >= plain else v.pieces_text(ids)
-                    if text[1:] != c and text != " " + c.replace(MARK, " "):
-                        self.odd[c] = text
-        if len(self.ids) + len(found) > self.entries:
-            self.ids.clear()
-        self.ids.update(found if self.longest is None or all(len(c) <= self.longest for c in by_width.get(0, [])) else {c: i for c, i in found.items() if len(c) <= self.longest})
+                    if back != text:
+                        self.odd[c] = back
+        self.ids.update(found if max(map(len, by_width.get(0, [])), default=0) <= self.longest else {c: i for c, i in found.items() if len(c) <= self.longest})
         return found
 
     def names(self, text: str) -> list[str]:
@@ -248,11 +281,16 @@ class ChunkTable:
         return text.split(" ")
 
     def batch(self, texts: list[str]) -> tuple[list[str], list[str]]:
-        """For each text its decimal ids joined by commas, and its decoded text."""
+        """For each text its decimal ids joined by commas, and the text decoded from them."""
         v = self.vocabulary
         if not (v.splits and v.prefix):
             ids = [v.encode(t) for t in texts]
-            return [",".join(map(str, i)) for i in ids], [v.decode(i) for i in ids]
+            for t, mine in zip(texts, ids, strict=True):
+                same(t, mine, self.library.encode(t))
+            return [",".join(map(str, i)) for i in ids], [self.library.decode(i) for i in ids]
+        if len(self.ids) > self.entries or len(self.odd) > self.entries:
+            self.ids.clear()
+            self.odd.clear()
         flat: list[str] = []
         ends = [0]
         for t in texts:
@@ -270,18 +308,27 @@ class ChunkTable:
             said.append(",".join(got[a:b]))
             own = flat[a:b]
             if self.odd and not self.odd.keys().isdisjoint(own):
-                back.append("".join([self.odd.get(c, " " + c.replace(MARK, " ")) for c in own])[1:])
+                back.append(" ".join([self.odd.get(c, c.replace(MARK, " ")) for c in own]))
             else:
                 back.append(" ".join(own).replace(MARK, " "))
+        for k in [k for k, t in enumerate(texts) if t][:1]:
+            theirs = self.library.encode(texts[k])
+            same(texts[k], said[k], ",".join(map(str, theirs)))
+            same(texts[k], back[k], self.library.decode(theirs))
         return said, back
 
 
-def encode_decode(docs: DataFrame, model_path: str, text: str = "text", ids: str | None = "ids", digests: bool = False) -> DataFrame:
+def same(text: str, mine: object, theirs: object) -> None:
+    if mine != theirs:
+        raise AssertionError(f"differs from the library for {text[:200]!r}: {str(mine)[:200]!r}, {str(theirs)[:200]!r}")
+
+
+def encode_decode(docs: DataFrame, model_path: str, text: str = "text", ids: str | None = "ids", digests: bool = False, keep_text: bool = True) -> DataFrame:
     """Encode every whole text and decode it again.
 
     Adds ``n_tokens`` long and ``decoded`` string, and ``ids`` array<int> under the name given (None: leave it out).
     With ``digests`` it adds ``ids_sha256`` and ``decoded_sha256`` (lower-case hex of the comma-joined decimal ids, of
-    the decoded UTF-8) instead of ids and decoded text.
+    the decoded UTF-8) instead of ids and decoded text. Without ``keep_text`` the text itself is left out.
     """
     own = [T.StructField("n_tokens", T.LongType())]
     if digests:
@@ -291,22 +338,14 @@ def encode_decode(docs: DataFrame, model_path: str, text: str = "text", ids: str
         own += [T.StructField("decoded", T.StringType())]
     if clash := {f.name for f in own} & set(docs.columns):
         raise ValueError(f"columns already present: {sorted(clash)}")
-    schema = T.StructType([*docs.schema.fields, *own])
+    kept = [f for f in docs.schema.fields if keep_text or f.name != text]
+    schema = T.StructType([*kept, *own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ChunkTable(model_path)
         for batch in batches:
-            parts, cuts = batch.column(batch.schema.get_field_index(text)), [0]
-            size = 0
-            for k, n in enumerate(pa.compute.binary_length(parts).to_pylist()):
-                size += n or 0
-                if size > 4 << 20:  # a few MB of text at a time, whatever the rows a batch has
-                    cuts.append(k + 1)
-                    size = 0
-            for a, b in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
-                if a == b:
-                    continue
-                rows = batch.slice(a, b - a)
+            parts, passed = batch.column(batch.schema.get_field_index(text)), batch.select([f.name for f in kept])
+            for a, b in slices(parts):
                 said, back = known.batch([t or "" for t in parts.slice(a, b - a).to_pylist()])
                 counts = pa.array([s.count(",") + 1 if s else 0 for s in said], pa.int64())
                 if digests:
@@ -314,6 +353,6 @@ def encode_decode(docs: DataFrame, model_path: str, text: str = "text", ids: str
                 else:
                     more = [pa.array([[int(i) for i in s.split(",")] if s else [] for s in said], pa.list_(pa.int32()))] if ids else []
                     more += [pa.array(back, pa.string())]
-                yield pa.RecordBatch.from_arrays([*rows.columns, counts, *more], [f.name for f in schema])
+                yield pa.RecordBatch.from_arrays([*passed.slice(a, b - a).columns, counts, *more], [f.name for f in schema])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
