@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import written
+from ._shared import lean, slices, written
 
 #: Buckets of hashed byte pairs, and features in all.
 PAIRS, SHARES = 1024, 15
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, samples: Samples = Samples(), doc_id
             x = [features(t).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(x, pa.binary()), batch.column(2), batch.column(3)], ["id", "x", "label", "use"])
 
-    rows = texts.mapInArrow(described, "id long, x binary, label int, use string")
+    rows = texts.mapInArrow(lean(described), "id long, x binary, label int, use string")
 
     def learn(group: pa.Table) -> pa.Table:
         ids, use = np.array(group.column("id")), np.array(group.column("use").to_pylist())
@@ -158,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, samples: Samples = Samples(), doc_id
             out = np.r_[w, calibrate(x[use == "l"] @ w, marked)]
         return pa.table({"w": pa.array([out.tolist()], pa.list_(pa.float64()))})
 
-    found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(learn, "w array<double>").first()
+    found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(lean(learn), "w array<double>").first()
     if found is None:
         return np.r_[np.zeros(WIDTH), 1.0, 0.0]
     return np.array(found["w"])
@@ -172,12 +172,13 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", name: str =
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole, (a, b) in ((x, y) for x in batches for y in slices(x.column(x.schema.get_field_index(text)), 8 << 20)):
+            batch = whole.slice(a, b - a)
             texts = batch.column(batch.schema.get_field_index(text))
             margin = np.array([float(features(t.as_py()) @ w) for t in texts])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_sigmoid(slope * margin + offset), pa.float64())], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, samples: Samples = Samples()) -> DataFrame:
