@@ -5,8 +5,8 @@ A document's set holds the 64-bit hashes of its distinct word shingles; two docu
 Documents that can link are brought together first. Sets of sizes x <= y that link differ in at most
 d = (x + y) (1 - t) / (1 + t) shingles. The hash space is cut into bins, a power of two that follows from y; at most d bins then hold different
 shingles, so among any d + 1 of a set's bins, taken in an order all sets share (fuller bins first), one is in the other
-set's choice, equal in whole: the chosen bins' contents are the set's keys. (Small sets use single shingles the same way. That a
-set of 55 or more would fall into d bins at all has a chance below 1e-9, as two hashes being equal has.) Equal keys of sets of compatible sizes
+set's choice, equal in whole: the chosen bins' contents are the set's keys. (Sets that fill no more than d bins, which among larger ones are very
+rare, use single shingles the same way; small sets always do.) Equal keys of sets of compatible sizes
 are candidates; each task sends on only one entry for a run of sizes under a key, so a key that a third of all documents
 have makes no large group. Candidates are gathered by connected components.
 
@@ -30,11 +30,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import BROADCAST_ROWS, written
+from ._shared import BROADCAST_ROWS, by_deal, lean, slices, written
 from .components import components, stars
 
 #: Set sizes from which bins are used; bytes of keys a task of the exchange gets about; bytes of text a verifying task gets about.
-BINS_FROM, EXCHANGE, BLOCK = 64, 48 << 20, 8 << 20
+BINS_FROM, EXCHANGE, BLOCK = 64, 24 << 20, 8 << 20
 #: Children of a tree's node.
 FAN = 16
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -76,9 +76,7 @@ def keys(s: np.ndarray, percent: int) -> np.ndarray:
         return s
     most = n * 100 // percent  # the largest set it can link with
     out = []
-    if n < BINS_FROM:
-        prefix = n - (n * percent + 99) // 100 + 1
-        out.append(_mix(s[:prefix] ^ np.uint64(0x5851F42D4C957F2D)))
+    single = n < BINS_FROM
     if most >= BINS_FROM:
         differ = (n + most) * (100 - percent) // (100 + percent)
         for r in sorted({_level(max(n, BINS_FROM), percent), _level(most, percent)}):
@@ -90,6 +88,10 @@ def keys(s: np.ndarray, percent: int) -> np.ndarray:
                 order = (np.uint64(255) - np.minimum(counts, 255).astype(np.uint64) << np.uint64(56)) | (key >> np.uint64(8))
                 key = key[np.argpartition(order, differ)[: differ + 1]]
             out.append(key)
+            single |= len(key) <= differ  # too few bins to be sure of an equal one
+    if single:
+        prefix = n - (n * percent + 99) // 100 + 1
+        out.append(_mix(s[:prefix] ^ np.uint64(0x5851F42D4C957F2D)))
     return np.concatenate(out)
 
 
@@ -212,16 +214,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: s
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for batch in batches:
+        for batch, (a, b) in ((x, y) for x in batches for y in slices(x.column(1), 8 << 20)):
             out: tuple[list, list, list] = ([], [], [])
-            for t in batch.column(1):
+            for t in batch.column(1).slice(a, b - a):
                 s = shingles(t.as_py(), k, words)
                 out[0].append(len(s))
                 out[1].append(xxhash.xxh3_128_digest(s.tobytes()))
                 out[2].append(keys(s, percent).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.binary(), pa.binary()), strict=True))], ["doc_id", "n", "same", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.binary(), pa.binary()), strict=True))], ["doc_id", "n", "same", "keys"])
 
-    sets = written(own.mapInArrow(described, "doc_id long, n long, same binary, keys binary"), "jaccard-sets")
+    sets = written(own.mapInArrow(lean(described), "doc_id long, n long, same binary, keys binary"), "jaccard-sets")
     size = sets.agg(F.sum(F.length("keys"))).first()[0] or 0
     deals = max(4, math.ceil(size * 3 / EXCHANGE))
     schema = "deal int, entries binary, links binary"
@@ -235,9 +237,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: s
             n = np.repeat(np.array(batch.column(1)), lengths)
             key, doc, low, high, a, b = _runs(key, doc, n, n, percent)
             a, b = stars(a, b)
-            to, link_to = (key % np.uint64(deals)).astype(np.int64), a % deals
-            rows = [(d, np.stack([key[m].view(np.int64), doc[m], low[m], high[m]]).tobytes(), np.stack([a[l], b[l]]).tobytes()) for d in range(deals) if (m := to == d).any() | (l := link_to == d).any()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)] if rows else [pa.array([], t) for t in (pa.int32(), pa.binary(), pa.binary())], ["deal", "entries", "links"])
+            to = (key % np.uint64(deals)).astype(np.int64)
+            yield by_deal(entries=(to, np.stack([key.view(np.int64), doc, low, high])), links=(a % deals, np.stack([a, b])))
 
     def met(group: pa.Table) -> pa.Table:
         e = np.concatenate([np.frombuffer(x, np.int64).reshape(4, -1) for x in group.column("entries").to_pylist()], axis=1)
@@ -247,7 +248,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: s
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     known = sets.filter("doc_id is not null and n > 0")
-    candidates = known.select("doc_id", "n", "keys").mapInArrow(dealt, schema).groupBy("deal").applyInArrow(met, "a long, b long")
+    candidates = known.select("doc_id", "n", "keys").mapInArrow(lean(dealt), schema).groupBy("deal").applyInArrow(lean(met), "a long, b long")
     near = components(candidates)
     # One document stands for all with the same set; components of one set need no verifying.
     copies = written(known.groupBy("same").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").drop("copies"), "jaccard-copies")
@@ -275,7 +276,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: s
         out = [pair for rows in found.values() for pair in _linked(rows, percent)]
         return pa.table([pa.array([p[x] for p in out], pa.int64()) for x in (0, 1)], ["a", "b"])
 
-    reached = components(texts.groupBy("task").applyInArrow(verified, "a long, b long"))
+    reached = components(texts.groupBy("task").applyInArrow(lean(verified), "a long, b long"))
     reached = reached.select(F.col("node").alias("first"), F.col("component").alias("reached"))
     rows = sets.select("doc_id", "n", "same").join(copies, "same", "left").withColumn("first", F.when(F.col("n") > 0, F.coalesce("first", "doc_id")).otherwise(F.col("doc_id")))
     return rows.join(reached, "first", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("reached", "first")).alias("component_id"))
