@@ -21,7 +21,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sentencepiece_bpe import encode_decode
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True).drop("text")
+    return encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True, keep_text=False)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import remove_repeats
 
-    return remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return remove_repeats(table(spark, sf_dir, "documents"), length=400, passage=51)
 
 
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

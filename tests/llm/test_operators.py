@@ -96,6 +96,29 @@ def test_sentencepiece_equals_library(spark):
     assert encode_decode(docs(spark, []), MODEL).count() == 0
 
 
+@pytest.mark.parametrize("wrong", ["encode", "decode"])
+def test_sentencepiece_difference_ends_the_job(wrong):
+    from loomspark.llm.sentencepiece_bpe import ChunkTable
+
+    class Other:
+        def __init__(self, own):
+            self.own = own
+
+        def encode(self, x, **k):
+            found = self.own.encode(x, **k)
+            return [i + [5] if i else i for i in found] if wrong == "encode" and isinstance(x, list) else found
+
+        def decode(self, x):
+            found = self.own.decode(x)
+            return found + "!" if wrong == "decode" and isinstance(found, str) else found
+
+    table = ChunkTable(MODEL)
+    assert table.batch(["some text", "more"])[1] == ["some text", "more"]
+    table.library = Other(table.library)
+    with pytest.raises(AssertionError):
+        table.batch(["some new text", "more"])
+
+
 # --- mixing
 
 
@@ -289,7 +312,7 @@ def test_merged_transforms_equal_sorting():
     rng = np.random.default_rng(3)
     parts = [bytes(rng.integers(97, 99, 600, dtype=np.uint8)) for _ in range(6)] + [b"q" * 700]
     parts.append(parts[0][20:580])
-    again = s.repeated_windows(parts, 400, s.Powers(2), s.Powers(3))
+    again = s.repeated_windows([np.frombuffer(p, np.uint8) for p in parts], s.Unit(400), s.Powers(2), s.Powers(3))
     seen = Counter(p[i : i + 400] for p in parts for i in range(len(p) - 399))
     want = np.concatenate([[i + 400 <= len(p) and seen[p[i : i + 400]] > 1 for i in range(len(p))] for p in parts])
     assert (again == want).all()
@@ -304,15 +327,17 @@ def test_suffix_dedup_copies_are_sent_once(spark, monkeypatch):
     merge = suffix_dedup.repeated_windows
 
     def checked(parts, *a):
-        assert len(set(parts)) == len(parts)
+        assert len({p.tobytes() for p in parts}) == len(parts)
         return merge(parts, *a)
 
     monkeypatch.setattr(suffix_dedup, "repeated_windows", checked)
     for many in (1000, 1):
         monkeypatch.setattr(suffix_dedup, "MANY", many)
         df = docs(spark, texts)
-        held = [np.concatenate([np.frombuffer(x, np.int64) for x in r.places]) for r in suffix_dedup.repeats(df).collect()]
-        assert len(held) == 3 and all(len(set(p.tolist())) == len(p) for p in held)
+        held = defaultdict(list)
+        for r in suffix_dedup.repeats(df, [suffix_dedup.Unit(400)]).collect():
+            held[bytes(r.text_key)] += np.frombuffer(r.places, np.int64).tolist()
+        assert len(held) == 3 and all(len(set(p)) == len(p) for p in held.values())
         got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(df).collect()}
         assert [got[i] for i in range(len(texts))] == removed_brute(texts, 400)
 
@@ -324,10 +349,46 @@ def test_merged_transforms_of_many_shards(monkeypatch):
     rng = np.random.default_rng(4)
     parts = [bytes(rng.integers(97, 123, 420, dtype=np.uint8)) for _ in range(300)]
     parts.append(parts[7][5:415])
-    again = s.repeated_windows(parts, 400, s.Powers(2), s.Powers(3))
+    again = s.repeated_windows([np.frombuffer(p, np.uint8) for p in parts], s.Unit(400), s.Powers(2), s.Powers(3))
     assert again.sum() == 22
 
 
+@pytest.mark.parametrize("length", [8, 9, 150, 203, 420])
+def test_merged_transforms_of_any_length(length, monkeypatch):
+    from loomspark.llm import suffix_dedup as s
+
+    monkeypatch.setattr(s, "SHARD", 3 * length)
+    rng = np.random.default_rng(length)
+    parts = [rng.integers(0, 2, length + int(rng.integers(0, 60)), dtype=np.uint64) for _ in range(12)]
+    parts += [np.concatenate([p[:-1], [9]]).astype(np.uint64) for p in parts[:4]] + [parts[5][3:] if len(parts[5]) > length + 3 else parts[5]]
+    for words in (False, True):
+        own = [p.astype(np.uint64 if words else np.uint8) for p in parts]
+        again = s.repeated_windows(own, s.Unit(length, words), s.Powers(2), s.Powers(3))
+        seen = Counter(tuple(p[i : i + length].tolist()) for p in own for i in range(len(p) - length + 1))
+        assert (again == np.concatenate([[i + length <= len(p) and seen[tuple(p[i : i + length].tolist())] > 1 for i in range(len(p))] for p in own])).all()
+
+
+@pytest.mark.parametrize("length,many", [(420, 400), (150, 1)])
+def test_suffix_dedup_of_other_lengths_and_passages(spark, length, many, monkeypatch):
+    from loomspark.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
+    rnd = random.Random(length)
+    shared = [words(rnd, n) for n in (49, 51, 60, 90)]
+    texts = [words(rnd, rnd.randint(0, 90)) + rnd.choice(["", *[f"\n{x}\t" for x in shared]]) + words(rnd, rnd.randint(0, 90)) for _ in range(50)]
+    texts += [texts[0], "", None, "a " * 51, "b " * 50, "c", shared[3], "  " + shared[2].replace(" ", "  ")]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs(spark, texts), length, passage=51, content=True).collect()}
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for _, r in sorted(got.items())] == removed_brute(texts, length)
+    own = [(t or "").split() for t in texts]
+    seen = Counter(tuple(w[i : i + 51]) for w in own for i in range(len(w) - 50))
+    for k, w in enumerate(own):
+        cover = {j for i in range(len(w) - 50) if seen[tuple(w[i : i + 51])] > 1 for j in range(i, i + 51)}
+        assert got[k].passage_words == len(cover)
+        assert hashlib.sha256(got[k].kept).hexdigest() == got[k].kept_sha256
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(docs(spark, texts), 7)
+
+
 # --- lines
 
 
@@ -420,6 +481,18 @@ def test_jaccard(spark, k, percent, block, monkeypatch):
     assert [got[i] for i in range(len(texts))] == components_brute(texts, k, percent)
 
 
+def test_jaccard_sets_in_few_bins(spark, monkeypatch):
+    from loomspark.llm import jaccard
+
+    # With one bin or two, sets of over 64 fill no more bins than they may differ in.
+    monkeypatch.setattr(jaccard, "_level", lambda larger, percent: 1)
+    rnd = random.Random(12)
+    base = words(rnd, 120)
+    texts = [edited(rnd, base, 0.01) for _ in range(30)] + [words(rnd, 100) for _ in range(10)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs(spark, texts), 4, 85).collect()}
+    assert [got[i] for i in range(len(texts))] == components_brute(texts, 4, 85)
+
+
 def test_jaccard_odd_rows(spark):
     from loomspark.llm.jaccard import jaccard_components, keep_one
 
