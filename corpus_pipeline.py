@@ -41,7 +41,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """With the number of tokens and the token ids of the text; decoding them gave the text's digest."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return encode_decode(docs.select("doc_id", "lang", "source", "n_chars", "text"), path, digests=True).drop("text")
+    return encode_decode(docs.select("doc_id", "lang", "source", "n_chars", "text"), path, digests=True, keep_text=False)
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_copies", near_copies), ("mixture", mixture), ("tokens", tokens)]
