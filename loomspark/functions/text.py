@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -93,16 +96,24 @@ def hyphen_words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit("[A-Za-z][A-Za-z-]*"), F.lit(0)), F.lower)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often, and within whatever lambda, it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def ngrams(tokens: Column, n: int) -> Column:
     """All runs of n tokens, joined by blanks."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+
+    def runs(t: Column) -> Column:
+        starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " "))
+
+    return once(tokens, runs)
 
 
 def is_content(gram: Column, stopwords: tuple[str, ...]) -> Column:
     """Neither all stopwords nor all shorter than three characters."""
-    parts = F.split(gram, " ")
-    return ~F.forall(parts, lambda w: w.isin(*stopwords)) & ~F.forall(parts, lambda w: F.length(w) < 3)
+    return once(F.split(gram, " "), lambda parts: ~F.forall(parts, lambda w: w.isin(*stopwords)) & ~F.forall(parts, lambda w: F.length(w) < 3))
 
 
 def html_text(html: Column) -> Column:
@@ -113,8 +124,10 @@ def html_text(html: Column) -> Column:
     return strip(unescape(F.regexp_replace(out, "<[^>]+>", "")))
 
 
-def strip_html(html: Column, most: int = 80_000) -> Column:
-    return F.left(squeeze(F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style|noscript|svg|nav|footer)\b.*?</\1>|<!--.*?-->", " "), "<[^>]+>", " ")), F.lit(most))
+def strip_html(html: Column, most: int | None = 80_000) -> Column:
+    """The text of a page, cut at ``most`` characters for a prompt (None: whole)."""
+    text = squeeze(F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style|noscript|svg|nav|footer)\b.*?</\1>|<!--.*?-->", " "), "<[^>]+>", " "))
+    return text if most is None else F.left(text, F.lit(most))
 
 
 def footnote_number(html: Column) -> Column:
@@ -176,6 +189,49 @@ def split_long(text: Column, most: int = 4000) -> Column:
     return F.when(F.length(text) <= most, F.array(text)).otherwise(folded)
 
 
+def fix_emphasis(text: Column, rounds: int = 5) -> Column:
+    """Blanks just inside emphasis marks out, as Markdown takes such marks for asterisks; again until nothing moves, ``rounds`` times at most."""
+    passes = ((r"\*\*[ \t]+([^*\n]+?)\*\*", "**$1**"), (r"\*\*([^*\n]+?)[ \t]+\*\*", "**$1**"), (r"(?<!\*)\*[ \t]+([^*\n]+?)\*(?!\*)", "*$1*"), (r"(?<!\*)\*([^*\n]+?)[ \t]+\*(?!\*)", "*$1*"))
+
+    def once_more(t: Column, _: Column) -> Column:
+        for pattern, to in passes:
+            t = F.regexp_replace(t, pattern, to)
+        return t
+
+    out = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), text, once_more)
+    return F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r" +\n", "\n")
+
+
+def doc_title(text: Column, filename: Column, skip: str = "source pdf") -> Column:
+    """The first heading of level one within 30 lines that is longer than five characters and not ``skip``; else the file's name, in words."""
+    heads = F.transform(F.slice(F.split(text, "\n"), 1, 30), lambda x: strip(F.regexp_extract(x, r"^#\s+(.+)", 1)))
+    found = F.get(F.filter(heads, lambda h: (F.length(h) > 5) & (F.lower(h) != skip)), F.lit(0))
+    return F.coalesce(found, F.initcap(F.translate(F.regexp_replace(filename, r"\.md", ""), "-_", "  ")))
+
+
+def captured_slug(value: Column, pattern: str) -> Column:
+    """The pattern's first group (the whole match where it has none), else null: an id that is part of a name or an address."""
+    group = 1 if re.compile(pattern).groups else 0
+    return F.nullif(F.regexp_extract(value, pattern, group), F.lit(""))
+
+
+def file_path(title: Column, kind: Column, url: Column, most: int = 100) -> Column:
+    """Where a document is saved: a folder a kind, the title in safe characters, and six digits of its address' md5."""
+    folder = F.when(F.coalesce(kind, F.lit("")) == "", "Other").otherwise(F.replace(F.replace(kind, F.lit(", "), F.lit("_")), F.lit(" "), F.lit("_")))
+    name = F.left(F.regexp_replace(F.regexp_replace(F.replace(title, F.lit(" "), F.lit("_")), r"[/\\:>]", "_"), "_+", "_"), F.lit(most))
+    return F.concat(F.lit("pdfs/"), folder, F.lit("/"), name, F.lit("_"), F.left(F.md5(url), F.lit(6)), F.lit(".pdf"))
+
+
+def prompt_line(*cells: Column) -> Column:
+    """Cells as one line of a prompt: bars and line breaks within them become slashes and blanks."""
+    return F.concat_ws(" | ", *[F.translate(F.coalesce(c.cast("string"), F.lit("")), "|\n", "/ ") for c in cells])
+
+
+def paragraphs(text: Column, least: int = 0) -> Column:
+    """Parts between blank lines, without surrounding white space, of ``least`` characters or more."""
+    return F.filter(F.transform(F.split(text, r"\n\s*\n"), strip), lambda p: (F.length(p) > 0) & (F.length(p) >= least))
+
+
 def backward_spans(length: Column, size: int, overlap: int, single: int) -> Column:
     """Overlapping [start, end) spans from the end of a text backwards, for texts without blank lines to snap to."""
     step = size - overlap
@@ -214,11 +270,85 @@ def url_path(url: Column) -> Column:
 
 
 def page_title(html: Column) -> Column:
-    """Dublin Core title, Open Graph title, first h1, first h2, title element: the first that is there."""
-    options = (r'(?is)<meta\s+name="DC.title"\s+content="([^"]*)"', r'(?is)<meta\s+property="og:title"\s+content="([^"]*)"', r"(?is)<h1[^>]*>(.*?)</h1>", r"(?is)<h2[^>]*>(.*?)</h2>", r"(?is)<title[^>]*>(.*?)</title>")
-    return F.coalesce(*[F.nullif(squeeze(F.regexp_replace(F.regexp_extract(html, p, 1), "<[^>]+>", "")), F.lit("")) for p in options])
+    """Dublin Core title, Open Graph title; else the first h1 of five characters and more that is not for screen readers only and, where there are several, not under
+    thirty; else the first h1, else the first h2 of more than five characters."""
+    bare = lambda x: squeeze(F.regexp_replace(x, "<[^>]+>", ""))
+    filled = lambda x: F.nullif(x, F.lit(""))
+
+    def of_headings(heads: Column) -> Column:
+        own = F.filter(heads, lambda h: ~F.regexp_extract(h, "(?is)^<h1([^>]*)>", 1).rlike(r'class="([^"]*\s)?(sr-only|visually-hidden)(\s[^"]*)?"') & (F.length(bare(h)) >= 5) & ((F.size(heads) == 1) | (F.length(bare(h)) >= 30)))
+        return F.coalesce(bare(F.get(own, F.lit(0))), filled(bare(F.get(heads, F.lit(0)))))
 
+    meta = [filled(F.trim(F.regexp_extract(html, p, 1))) for p in (r'(?is)<meta\s+name="dcterms.title"\s+content="([^"]*)"', r'(?is)<meta\s+property="og:title"\s+content="([^"]*)"')]
+    h2 = bare(F.regexp_extract(html, r"(?is)<h2[^>]*>(.*?)</h2>", 1))
+    return F.coalesce(*meta, once(F.regexp_extract_all(html, F.lit(r"(?is)<h1[^>]*>.*?</h1>"), F.lit(0)), of_headings), F.when(F.length(h2) > 5, h2))
 
-def document_links(html: Column) -> Column:
+
+def links(html: Column) -> Column:
     """Distinct link targets in order of appearance."""
     return F.array_distinct(F.regexp_extract_all(html, F.lit(r'(?i)<a\s[^>]*href="([^"]*)"'), F.lit(1)))
+
+
+def is_document_link(href: Column, title: Column) -> Column:
+    """A PDF by its name, a link to a PDF or Word form of a page, or a title attribute that offers a download."""
+    return href.rlike(r"(?i)\.pdf(\?|$)|/pdf$|/word$|format=pdf") | title.rlike(r"(?i)download.*\.(pdf|docx?)$")
+
+
+def document_links(html: Column, page_url: Column) -> Column:
+    """Distinct absolute addresses of the documents a page links to, in order of appearance."""
+    tags = F.regexp_extract_all(html, F.lit(r'(?is)<a\s[^>]*href="[^"]*"[^>]*>'), F.lit(0))
+    pairs = F.transform(tags, lambda a: F.struct(F.regexp_extract(a, r'(?is)\shref="([^"]*)"', 1).alias("href"), F.regexp_extract(a, r'(?is)\stitle="([^"]*)"', 1).alias("title")))
+    wanted = F.filter(pairs, lambda p: is_document_link(p["href"], p["title"]))
+    return F.array_distinct(F.transform(wanted, lambda p: absolute(page_url, p["href"])))
+
+
+def absolute(base: Column, href: Column) -> Column:
+    """A link against the page it stands on: absolute, of the scheme, of the root, a query, a fragment, or beside the page. Dots in paths stay as they are."""
+    scheme, root = F.regexp_extract(base, "^([a-z]+:)", 1), F.regexp_extract(base, "^([a-z]+://[^/?#]*)", 1)
+    page = F.regexp_extract(base, "^([^?#]*)", 1)
+    folder = F.when(page == root, F.concat(root, F.lit("/"))).otherwise(F.regexp_replace(page, "[^/]*$", ""))
+    return (
+        F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(root, href))
+        .when(href == "", base).when(href.startswith("?"), F.concat(page, href)).when(href.startswith("#"), F.concat(F.regexp_extract(base, "^([^#]*)", 1), href)).otherwise(F.concat(folder, href))
+    )
+
+
+def child_pages(html: Column, page_url: Column, first: tuple[str, ...] = ("report", "draft", "final-report", "final", "interim", "supplement"), most: int = 5) -> Column:
+    """Links one level below a page on its own host, without queries, those named as reports first, then in order of appearance; ``most`` of them are to be visited."""
+
+    def below(page: Column) -> Column:
+        root, path = F.regexp_extract(page, "^([a-z]+://[^/?#]*)", 1), F.rtrim(url_path(page), F.lit("/"))
+        found = F.transform(links(html), lambda h: F.regexp_replace(absolute(page, F.trim(h)), r"[?#].*$", ""))
+        rest = lambda u: F.regexp_replace(F.substring(u, F.length(root) + F.length(path) + 1, F.length(u)), "/+$", "")
+        near = F.array_distinct(F.filter(found, lambda u: u.startswith(F.concat(root, path, F.lit("/"))) & rest(u).rlike("^/[^/]+$")))
+        named = lambda u: F.substring(rest(u), 2, F.length(u)).isin(*first)
+        return F.slice(F.concat(F.filter(near, named), F.filter(near, lambda u: ~named(u))), 1, most)
+
+    return once(page_url, below)
+
+
+def snapped_spans(text: Column, size: int, overlap: int, single: int, reach: int = 2000) -> Column:
+    """Overlapping (chunk, start, end) spans from the end of a text backwards; a start goes to just behind the last blank line within ``reach`` of it, if there is one.
+    Each span's end is the start before plus ``overlap``; where that gains nothing the walk ends."""
+
+    def walk(t: Column) -> Column:
+        kind = "struct<spans:array<struct<chunk:int,start:int,end:int>>,start:int,end:int,go:boolean>"
+        first = F.struct(F.array().cast("array<struct<chunk:int,start:int,end:int>>").alias("spans"), F.length(t).alias("start"), F.length(t).alias("end"), F.lit(True).alias("go")).cast(kind)
+        steps = F.when(F.length(t) <= single, 0).otherwise(F.ceil(F.length(t) / max(1, size - overlap - reach)).cast("int") + 1)
+
+        def step(acc: Column, k: Column) -> Column:
+            end = F.when(F.size(acc["spans"]) == 0, acc["end"]).otherwise(acc["start"] + overlap)
+            raw = F.greatest(end - size, F.lit(0))
+            low = F.greatest(raw - reach, F.lit(0))
+            around = F.substring(t, low + 1, F.least(raw + reach, F.length(t)) - low)
+            back = F.locate("\n\n", F.reverse(around))
+            snap = F.when((raw > 0) & (back > 0), low + F.length(around) - back - 1).otherwise(0)
+            start = F.when(snap > 0, snap + 2).otherwise(raw)
+            more = F.array_append(acc["spans"], F.struct((F.size(acc["spans"]) + 1).cast("int").alias("chunk"), start.cast("int").alias("start"), end.cast("int").alias("end")))
+            new = F.struct(more.alias("spans"), start.cast("int").alias("start"), end.cast("int").alias("end"), ((start > 0) & (start + overlap < end)).alias("go"))
+            return F.when(acc["go"], new.cast(kind)).otherwise(acc)
+
+        whole = F.array(F.struct(F.lit(1).alias("chunk"), F.lit(0).alias("start"), F.length(t).alias("end")))
+        return F.when(F.length(t) <= single, whole).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), first, step, lambda acc: acc["spans"]))
+
+    return once(text, walk)

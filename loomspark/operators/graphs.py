@@ -10,20 +10,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import dot, norm
+from ..session import cut
 
 
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """(node, component): smallest node reachable over edges (a, b); nodes (node) without edges are their own.
 
     Alternating large and small stars; each round's links are checkpointed, and rounds are logarithmic in the number of nodes."""
-    links = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    links = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    links = cut(links)
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(low, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
         small = large.join(low, F.col("a") == F.col("n")).select(F.col("b").alias("x"), F.col("m").alias("y")).filter("x <> y").unionByName(low.select(F.col("n").alias("x"), F.col("m").alias("y")))
-        new = small.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().checkpoint()
+        new = cut(small.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
         if new.exceptAll(links).isEmpty() and links.exceptAll(new).isEmpty():
             break
         links = new
@@ -51,23 +53,32 @@ def top_k_balanced(vectors: DataFrame, queries: DataFrame, group: str, per_group
 
 
 def close_pairs(vectors: DataFrame, least: float, id: str, vector: str, block: int = 2048) -> DataFrame:
-    """(a, b, cosine) of all pairs at ``least`` or more, a < b: blocks of packed unit vectors meet block by block (each pair of
-    blocks once) and are multiplied as matrices."""
+    """(a, b, cosine) of all pairs at ``least`` or more, a < b: vectors are packed into blocks of unit rows, a row a block, and each pair of blocks
+    meets once and is multiplied as two matrices. The work is that of an exact all-pairs search, quadratic in the number of blocks."""
     spread = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     blocks = max(1, -(-spread.count() // block))
     spread = spread.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    dealt = spread.withColumn("p", F.explode(F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))))
 
-    def near(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x, ids, own = np.array(pdf["v"].tolist()), pdf["id"].to_numpy(), pdf["block"].to_numpy()
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        a, b = np.nonzero(x @ x.T >= least - 1e-9)
-        good = (ids[a] < ids[b]) & ((own[a] != own[b]) if key[0] != key[1] else True)
-        a, b = a[good], b[good]
-        out = pd.DataFrame({"a": ids[a], "b": ids[b], "cosine": (x[a] * x[b]).sum(1)})
-        return out[out["cosine"] >= least]
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.array(pdf["v"].tolist())
+        return pd.DataFrame([(key[0], pdf["id"].to_numpy().astype("<i8").tobytes(), (x / np.linalg.norm(x, axis=1, keepdims=True)).astype("<f8").tobytes())], columns=["block", "ids", "xs"])
+
+    packed = cut(spread.groupBy("block").applyInPandas(pack, "block int, ids binary, xs binary"))
+    left = packed.withColumn("other", F.explode(F.expr(f"sequence(block, {blocks - 1})")))
+    right = packed.select(F.col("block").alias("other"), F.col("ids").alias("ids_b"), F.col("xs").alias("xs_b"))
+
+    def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for r in f.itertuples(index=False):
+                i, j = np.frombuffer(r.ids, "<i8"), np.frombuffer(r.ids_b, "<i8")
+                x, y = np.frombuffer(r.xs, "<f8").reshape(len(i), -1), np.frombuffer(r.xs_b, "<f8").reshape(len(j), -1)
+                a, b = np.nonzero(x @ y.T >= least - 1e-9)
+                good = i[a] < j[b] if r.block == r.other else i[a] != j[b]
+                a, b = a[good], b[good]
+                out = pd.DataFrame({"a": np.minimum(i[a], j[b]), "b": np.maximum(i[a], j[b]), "cosine": (x[a] * y[b]).sum(1)})
+                yield out[out["cosine"] >= least]
 
-    return dealt.select("p.i", "p.j", "id", "v", "block").groupBy("i", "j").applyInPandas(near, "a long, b long, cosine double")
+    return left.join(right, "other").select("block", "other", "ids", "xs", "ids_b", "xs_b").mapInPandas(near, "a long, b long, cosine double")
 
 
 def kmeans(vectors: DataFrame, k: int, seed: int, rounds: int, id: str, vector: str) -> DataFrame:
@@ -140,15 +151,51 @@ def token_sort(name: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(name, r"\s+"), lambda w: w != "")), " ")
 
 
-def fuzzy_pairs(names: DataFrame, least: float, id: str, name: str) -> DataFrame:
-    """(a, b, ratio): names (normalised) that share a token and whose sorted tokens have an indel ratio of ``least`` or more. Only names that
-    share a token are compared; lengths that can't reach the ratio are not."""
+def segments_of(n: int, parts: int) -> list[tuple[int, int]]:
+    """Starts and lengths of ``parts`` segments of a text of n characters, as even as can be."""
+    return [(k * n // parts, (k + 1) * n // parts - k * n // parts) for k in range(parts)]
+
+
+def fuzzy_keys(name: str, least: float) -> tuple[list[str], list[str]]:
+    """Keys of a name as the shorter (or equal) of a pair, and as the longer: a pair at the ratio has an equal one.
+
+    With lengths x <= y a ratio of ``least`` leaves d = (x + y) (1 - least / 100) characters that are inserted or deleted. Of d + 1 segments of the shorter one at least
+    one therefore stands unchanged in the longer, moved by d places at most."""
+    share, y = 1 - least / 100, len(name)
+    distance = lambda m, n: int((m + n) * share + 1e-9)
+    own = []
+    for longer in range(y, int(y * (1 + share) / (1 - share) + 1e-9) + 1):
+        d = distance(y, longer)
+        if d < y:
+            own += [f"{y}.{longer}.{k}.{name[a : a + n]}" for k, (a, n) in enumerate(segments_of(y, d + 1))]
+        else:
+            own.append(f"{y}.{longer}")
+    other = set()
+    for shorter in range(max(1, -int(-(y * (1 - share) / (1 + share)) // 1) - 1), y + 1):
+        d = distance(shorter, y)
+        if d < shorter:
+            other |= {f"{shorter}.{y}.{k}.{name[p : p + n]}" for k, (a, n) in enumerate(segments_of(shorter, d + 1)) for p in range(max(0, a - d), min(y - n, a + d) + 1)}
+        else:
+            other.add(f"{shorter}.{y}")
+    return own, sorted(other)
+
+
+def fuzzy_pairs(names: DataFrame, least: float, id: str, name: str, apart: DataFrame | None = None) -> DataFrame:
+    """(a, b, ratio): names (normalised) whose sorted tokens have an indel ratio of ``least`` or more, without the pairs (a, b) in ``apart``. Names meet by
+    segments (fuzzy_keys), which loses no pair, and only names that share one are compared."""
     own = names.select(F.col(id).alias("id"), token_sort(F.col(name)).alias("s")).filter("s <> ''")
-    words = own.withColumn("w", F.explode(F.array_distinct(F.split("s", " "))))
-    a, b = words.alias("a"), words.alias("b")
-    short, long = F.least(F.length("a.s"), F.length("b.s")), F.greatest(F.length("a.s"), F.length("b.s"))
-    met = a.join(b, (F.col("a.w") == F.col("b.w")) & (F.col("a.id") < F.col("b.id")) & (short * 200.0 / (short + long) >= least))
-    met = met.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.s").alias("x"), F.col("b.s").alias("y")).distinct()
+
+    @F.pandas_udf("shorter array<string>, longer array<string>")
+    def keys(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([fuzzy_keys(x, least) for x in s], columns=["shorter", "longer"])
+
+    keyed = cut(own.withColumn("k", keys("s")))
+    a = keyed.select(F.col("id").alias("x_id"), F.col("s").alias("x"), F.explode("k.shorter").alias("k"))
+    b = keyed.select(F.col("id").alias("y_id"), F.col("s").alias("y"), F.explode("k.longer").alias("k"))
+    met = a.join(b, "k").filter("x_id <> y_id").select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b"), F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    if apart is not None:
+        gone = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        met = met.join(gone, ["a", "b"], "left_anti")
 
     @F.pandas_udf("double")
     def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -180,38 +227,44 @@ def greedy_classes(labels: DataFrame, run: str, position: str, name: str, least:
 
 
 def diverse_sample(df: DataFrame, bucket: Column, diversify: Column, unique: Column, id: str, per_bucket: int, seed: int) -> DataFrame:
-    """(id, bucket, step): up to ``per_bucket`` rows a bucket; first rows with both keys unseen anywhere, then with the unique key unseen, then any. Candidates are first
-    thinned per bucket and key pair by seeded order, so the sequential part sees a bounded number of rows."""
+    """(id, bucket, step): up to ``per_bucket`` rows a bucket, bucket after bucket; in each first rows with both keys unseen anywhere so far, then
+    with the unique key unseen, then any, in an order seeded by md5. An empty or null unique key is never seen.
+
+    At most T = buckets * per_bucket keys are ever seen. So a first-step pick is among the first T + 1 keys of the other kind under each of its own two
+    keys, and after that thinning among its bucket's first 2 T (T + 1) + 1 rows; a second-step pick is among the first T + 1 unique keys of its bucket, a third-step pick among
+    its first T + 1 rows. The sequential part gets those rows only, whatever the size of the table, and loses none it could pick."""
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id).cast("string")))
-    own = df.select(F.col(id).alias("id"), bucket.cast("string").alias("bucket"), diversify.cast("string").alias("d"), unique.cast("string").alias("u"), order.alias("o"))
-    w = Window.partitionBy("bucket", "d", "u").orderBy("o")
-    own = own.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= per_bucket).drop("r")
-    w = Window.partitionBy("bucket").orderBy("o")
-    own = own.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= 1000 * per_bucket).drop("r")
+    own = df.select(F.col(id).cast("long").alias("id"), bucket.cast("string").alias("bucket"), diversify.cast("string").alias("d"), F.nullif(unique.cast("string"), F.lit("")).alias("u"), order.alias("o"))
+    own = cut(own.withColumn("k", F.coalesce(F.concat(F.lit("u"), F.col("u")), F.concat(F.lit("i"), F.col("id").cast("string")))))
+    most = own.select("bucket").distinct().count() * per_bucket
+    first = F.struct(F.col("o").alias("o"), F.col("id").alias("id"))
 
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["bucket", "o"])
-        seen_d, seen_u, taken, out, count = set(), set(), set(), [], {}
-        for step in (1, 2, 3):
-            for r in pdf.itertuples(index=False):
-                if r.id in taken or count.get(r.bucket, 0) >= per_bucket or (step < 3 and r.u in seen_u) or (step == 1 and r.d in seen_d):
-                    continue
-                taken.add(r.id)
-                seen_d.add(r.d)
-                seen_u.add(r.u)
-                count[r.bucket] = count.get(r.bucket, 0) + 1
-                out.append((r.id, r.bucket, step))
-        return pd.DataFrame(out, columns=["id", "bucket", "step"])
+    def ranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy("f")))
 
-    return own.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(pick, "id long, bucket string, step int")
+    pairs = own.groupBy("bucket", "d", "k").agg(F.min(first).alias("f"))
+    pairs = ranked(ranked(pairs, ["bucket", "d"], "r"), ["bucket", "k"], "s").filter((F.col("r") <= most + 1) & (F.col("s") <= most + 1))
+    step1 = ranked(pairs, ["bucket"], "n").filter(F.col("n") <= 2 * most * (most + 1) + 1)
+    step2 = ranked(own.groupBy("bucket", "k").agg(F.min(first).alias("f")), ["bucket"], "n").filter(F.col("n") <= most + 1)
+    step3 = ranked(own.withColumn("f", first), ["bucket"], "n").filter(F.col("n") <= most + 1)
+    ids = step1.select("f.id").unionByName(step2.select("f.id")).unionByName(step3.select("f.id")).distinct()
 
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        seen_d, seen_u, out = set(), set(), []
+        for name, rows in pdf.sort_values(["bucket", "o", "id"]).groupby("bucket", sort=True, dropna=False):
+            taken: set[int] = set()
+            for step in (1, 2, 3):
+                for r in rows.itertuples(index=False):
+                    if len(taken) >= per_bucket:
+                        break
+                    if r.id in taken or (step < 3 and r.u and r.u in seen_u) or (step == 1 and r.d in seen_d):
+                        continue
+                    taken.add(r.id)
+                    seen_d.add(r.d)
+                    if r.u:
+                        seen_u.add(r.u)
+                    out.append((r.id, name, step))
+        return pd.DataFrame(out, columns=["id", "bucket", "step"])
 
-def batched(rows: Iterator, size: int) -> Iterator[list]:
-    held = []
-    for r in rows:
-        held.append(r)
-        if len(held) == size:
-            yield held
-            held = []
-    if held:
-        yield held
+    kept = own.join(ids, "id", "left_semi").drop("k").withColumn("one", F.lit(1))
+    return kept.groupBy("one").applyInPandas(pick, "id long, bucket string, step int")

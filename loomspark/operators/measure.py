@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .relate import running
+
 
 def mutual_information(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: n, h_x, h_y, mi, nmi (by the smaller entropy, floored at 1e-9), base 2, from the contingency table."""
@@ -31,7 +33,7 @@ def describe(df: DataFrame, by: list[str], x: str) -> DataFrame:
 
     Order statistics come from counts of equal values summed in value order, not from a list a group."""
     counts = df.filter(F.col(x).isNotNull()).groupBy(*by, F.col(x).alias("v")).agg(F.count("*").alias("c"))
-    upto = counts.withColumn("upto", F.sum("c").over(Window.partitionBy(*by).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    upto = running(counts, by, ["v"], F.col("c"), "upto")
     sums = df.groupBy(*by).agg(F.count(x).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"))
     at = lambda q: F.min(F.when(F.col("upto") > F.least(F.floor(F.col("n") * q), F.col("n") - 1), F.col("v"))).alias(f"p{int(q * 100)}")
     met = upto.join(sums.select(*by, "n"), by)

@@ -18,6 +18,20 @@ def render(template: str, **blocks: Column) -> Column:
     return out
 
 
+def render_layers(template: str, layers: list[dict[str, Column]]) -> Column:
+    """A template with the blocks of all layers: defaults, tokens, those of a sub-pipeline, arguments. A later layer's value wins where it is not null."""
+    names = list(dict.fromkeys(n for layer in layers for n in layer))
+    return render(template, **{n: F.coalesce(*[layer[n] for layer in reversed(layers) if n in layer]) for n in names})
+
+
+def fingerprint_line(shares: DataFrame, least: float = 0.10, strong: float = 0.20, lift: float = 1.5) -> DataFrame:
+    """(term, line) from (term, name, share, base): values a term has in ``least`` of its documents and ``lift`` times as often as all, as percentages, strong ones marked."""
+    kept = shares.filter((F.col("share") >= least) & (F.col("share") / F.col("base") >= lift))
+    said = F.concat("name", F.lit(" "), F.round(F.col("share") * 100).cast("long"), F.lit("%"), F.when(F.col("share") >= strong, "!").otherwise(""))
+    rows = kept.groupBy("term").agg(F.array_sort(F.collect_list(F.struct((-F.col("share")).alias("s"), "name", said.alias("said")))).alias("r"))
+    return rows.select("term", F.array_join(F.transform("r", lambda x: x["said"]), ", ").alias("line"))
+
+
 def record_block(id: Column, narrative: Column, evidence: Column, axes: dict[str, Column], most: int = 600) -> Column:
     """A record's lines in a prompt: id, the axes that say yes, the narrative, and the evidence where it says something else."""
     yes = F.array_join(F.filter(F.array(*[F.when(c == "yes", F.lit(n)) for n, c in axes.items()]), lambda x: x.isNotNull()), ", ") if axes else F.lit("")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .terms import ranked
 
 
@@ -67,13 +68,45 @@ def signal_groups(df: DataFrame, by: str, signal: Column, least: float = 0.5) ->
 
 
 def pairs_within(df: DataFrame, group: list[str], item: str, least: int = 2, most: int = 30) -> DataFrame:
-    """(a, b, n): in how many groups of ``least`` to ``most`` rows two different items occur together. Pairs are built from a group's sorted
-    distinct items, of which the band bounds the number."""
-    sets = df.groupBy(*group).agg(F.count("*").alias("size"), F.array_sort(F.collect_set(item)).alias("items")).filter(F.col("size").between(least, most))
+    """(a, b, n): in how many groups of ``least`` to ``most`` rows two different items occur together. Groups are counted first, so that only
+    those within the band are gathered; pairs are built from a group's sorted distinct items, of which the band bounds the number."""
+    band = df.groupBy(*[F.col(g).alias(f"__{g}") for g in group]).agg(F.count("*").alias("size")).filter(F.col("size").between(least, most))
+    kept = df.select(*group, item).join(band, same([F.col(g) for g in group], [F.col(f"__{g}") for g in group]), "left_semi")
+    sets = kept.groupBy(*group).agg(F.array_sort(F.collect_set(item)).alias("items"))
     pairs = F.flatten(F.transform("items", lambda x, i: F.transform(F.slice("items", i + 2, F.size("items")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
     return sets.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
 
 
+def consensus(df: DataFrame, rep: str, group: str, item: str, least: int = 2) -> DataFrame:
+    """(a, b, n): pairs of items that stand in one group in ``least`` or more repetitions. Items meet by their groups in each choice of ``least``
+    repetitions, so that only pairs of the result are ever built, whatever a group's size."""
+    own = df.select(F.col(item).alias("item"), F.concat_ws("\x01", F.col(rep).cast("string"), F.col(group).cast("string")).alias("g"))
+    sets = own.groupBy("item").agg(F.array_sort(F.collect_set("g")).alias("groups"))  # a cell a repetition
+    keys = F.transform("groups", lambda g: F.array(g))
+    for _ in range(least - 1):
+        keys = F.flatten(F.transform(keys, lambda k: F.transform(F.filter("groups", lambda g: g > F.element_at(k, -1)), lambda g: F.array_append(k, g))))
+    met = sets.withColumn("key", F.explode(F.transform(keys, lambda k: F.array_join(k, "\x02"))))
+    a, b = met.alias("a"), met.alias("b")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.item") < F.col("b.item")))
+    return pairs.select(F.col("a.item").alias("a"), F.col("b.item").alias("b"), F.size(F.array_intersect("a.groups", "b.groups")).cast("long").alias("n")).distinct()
+
+
+def running(df: DataFrame, by: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+    """Sum of ``value`` up to each row of its group, in order (which should break all ties). The rows are dealt by ranges of group and order
+    and summed within each range; what earlier ranges hold of a group is added, so a group that holds most rows makes no large task."""
+    placed = cut(df.withColumn("__value", value).repartitionByRange(*by, *order).withColumn("__range", F.spark_partition_id()))
+    sums = placed.groupBy(*by, "__range").agg(F.sum("__value").alias("__sum"))  # a row a group and range it spans: as many as groups and ranges
+    before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"__by{k}" for k in range(len(by))]
+    base = cut(sums.select(*[F.col(b).alias(n) for b, n in zip(by, names, strict=True)], F.col("__range").alias("__of"), F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base")))
+    within = F.sum("__value").over(Window.partitionBy("__range", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    on = F.col("__range") == F.col("__of")
+    for b, n in zip(by, names, strict=True):
+        on = on & F.col(b).eqNullSafe(F.col(n))
+    met = placed.withColumn("__within", within).join(F.broadcast(base) if base.count() <= 100_000 else base, on)
+    return met.select(*df.columns, (F.col("__within") + F.col("__base")).alias(name))
+
+
 def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, filled, total, share) by one scan and an unpivot of one row."""
     filled = [F.count(F.when(F.trim(F.col(c).cast("string")) != "", 1)).alias(c) for c in columns]
@@ -116,10 +149,8 @@ def stratified(df: DataFrame, cell: list[str], per_cell: int, id: str, seed: int
 
 def batches(df: DataFrame, id: str, value: Column, size: int) -> DataFrame:
     """(batch, n, content): rows in order of id, ``size`` a batch; ranks come from counts of ranges, not from one global sort."""
-    from pyspark.sql.types import LongType, StructField, StructType  # noqa: F401
-
     spread = df.select(F.col(id).alias("id"), value.alias("v")).repartitionByRange(F.col("id")).sortWithinPartitions("id")
-    placed = spread.withColumn("p", F.spark_partition_id()).checkpoint()
+    placed = cut(spread.withColumn("p", F.spark_partition_id()))
     before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("p").agg(F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))  # a row a partition
     rank = F.row_number().over(Window.partitionBy("p").orderBy("id")) + F.col("base")

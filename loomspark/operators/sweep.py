@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import cosine
+from ..session import cut
 from .graphs import close_pairs, components
 
 #: From (batch, catalogue) to (record, cluster or null); and from orphans to proposed (record, cluster).
@@ -43,22 +44,22 @@ def sweep(records: DataFrame, provider: Provider, batch: int, rounds: int, least
     pass gives the orphans another chance against the full catalogue, and ids the catalogue doesn't have count as orphans."""
     classify, group = provider
     order = F.md5(F.col("record").cast("string"))
-    left = records.withColumn("o", order).checkpoint()
+    left = cut(records.withColumn("o", order))
     catalogue = records.sparkSession.createDataFrame([], f"cluster long, seed {records.schema['v'].dataType.simpleString()}")
     done, orphans = None, records.limit(0)
     for r in range(1, rounds + 1):
-        now = left.orderBy("o").limit(batch).select("record", "v").checkpoint() if r < rounds else left.select("record", "v")
-        found = classify(now, catalogue).join(F.broadcast(catalogue.select("cluster")), "cluster", "left_semi").checkpoint()
-        pool = orphans.unionByName(now.join(found, "record", "left_anti")).checkpoint()
+        now = cut(left.orderBy("o").limit(batch).select("record", "v")) if r < rounds else left.select("record", "v")
+        found = cut(classify(now, catalogue).join(F.broadcast(catalogue.select("cluster")), "cluster", "left_semi"))
+        pool = cut(orphans.unionByName(now.join(found, "record", "left_anti")))
         proposed = group(pool).join(pool.select("record"), "record", "left_semi")
         sizes = proposed.groupBy("cluster").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-        new = proposed.join(sizes.select("cluster"), "cluster", "left_semi").checkpoint()
-        orphans = pool.join(new, "record", "left_anti").checkpoint()
+        new = cut(proposed.join(sizes.select("cluster"), "cluster", "left_semi"))
+        orphans = cut(pool.join(new, "record", "left_anti"))
         placed = found.select("record", "cluster").unionByName(new.select("record", "cluster")).withColumn("round", F.lit(r))
         done = placed if done is None else done.unionByName(placed)
         seeds = new.select(F.col("cluster")).distinct().join(records, F.col("cluster") == F.col("record")).select("cluster", F.col("v").alias("seed"))
-        catalogue = catalogue.unionByName(seeds).checkpoint()
-        left = left.join(now.select("record"), "record", "left_anti").checkpoint()
-    again = classify(orphans, catalogue).filter("cluster is not null").checkpoint()
+        catalogue = cut(catalogue.unionByName(seeds))
+        left = cut(left.join(now.select("record"), "record", "left_anti"))
+    again = cut(classify(orphans, catalogue).filter("cluster is not null"))
     done = done.unionByName(again.withColumn("round", F.lit(rounds + 1)))
     return done.unionByName(orphans.join(again, "record", "left_anti").select("record", F.lit(None).cast("long").alias("cluster"), F.lit(0).alias("round")))

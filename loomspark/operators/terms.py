@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import cut
 
 
 def ranked(df: DataFrame, by: list[str], order: list[Column], most: int, name: str = "rank") -> DataFrame:
@@ -44,6 +45,7 @@ def lift(counts: DataFrame, least_n: int = 2, least_ratio: float = 3.0, least_gr
     """(grp, term, n, obs_share, base_share, lift): a term's share within its group over its share in all groups.
 
     Totals are aggregates joined back (windows over a group would gather its rows in one task)."""
+    counts = cut(counts)
     groups = counts.groupBy(F.col("grp").alias("g")).agg(F.sum("n").alias("group_n"))
     terms = counts.groupBy(F.col("term").alias("t")).agg(F.sum("n").alias("term_n"))
     total = counts.agg(F.sum("n").alias("all_n"))
@@ -56,10 +58,11 @@ def lift(counts: DataFrame, least_n: int = 2, least_ratio: float = 3.0, least_gr
 def tfidf_pairs(docs: DataFrame, doc: str, group: str, text: str, most_df: float = 0.7, least: float = 0.15) -> DataFrame:
     """(grp, a, b, cosine) of document pairs within a group; idf = ln(n / df), terms in ``most_df`` of the documents and more are out."""
     tf = docs.select(F.col(group).alias("grp"), F.col(doc).alias("doc"), F.explode(X.letters3(F.col(text))).alias("term")).groupBy("grp", "doc", "term").agg(F.count("*").alias("tf"))
+    tf = cut(tf)
     sizes = docs.groupBy(F.col(group).alias("g")).agg(F.count("*").alias("size"))
     df = tf.groupBy(F.col("grp").alias("g2"), F.col("term").alias("t2")).agg(F.count("*").alias("df"))
     w = tf.join(df, (F.col("grp") == F.col("g2")) & (F.col("term") == F.col("t2"))).join(sizes, F.col("grp") == F.col("g")).filter(F.col("df") < F.col("size") * most_df)
-    w = w.select("grp", "doc", "term", (F.col("tf") * F.log(F.col("size") / F.col("df"))).alias("w"))
+    w = cut(w.select("grp", "doc", "term", (F.col("tf") * F.log(F.col("size") / F.col("df"))).alias("w")))
     norms = w.groupBy("grp", "doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     a, b = w.alias("a"), w.alias("b")
     dots = a.join(b, (F.col("a.grp") == F.col("b.grp")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.doc") < F.col("b.doc")))

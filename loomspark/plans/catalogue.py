@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -14,20 +11,8 @@ from ..operators import graphs as G
 from ..operators import measure as M
 from ..operators import relate as R
 from ..operators import terms as T
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable:
-    def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]) -> Callable:
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
+from ..session import cut
+from .registry import QUERIES, SQL, query  # noqa: F401
 
 _STOP = ", ".join(f"'{w}'" for w in X.ACRONYM_STOP)
 #: RE2's word boundaries are ASCII: accented letters become a digit first, which restores Unicode boundaries.
@@ -135,14 +120,18 @@ def regex_density(t):
 @query("""SELECT item_id, doc_id, md5(substr(d.text, greatest(p - 1 - 300, 0) + 1, least(length(d.text), p - 1 + length(e) + 300) - greatest(p - 1 - 300, 0))) AS window_md5
 FROM (SELECT item_id, doc_id, d.text, trim(b.text) AS e, instr(lower(d.text), lower(left(trim(b.text), 60))) AS p FROM benchmark b JOIN documents d ON instr(lower(d.text), lower(left(trim(b.text), 60))) > 0) d WHERE length(e) >= 20""")
 def excerpt_window(t):
-    # A document can only hold a head of three words or more if it holds the second, which stands between white space: an equi-join
-    # before the search. Shorter heads are searched in every document.
+    # A document can only hold a head of three words or more if it holds each word that stands between white space in it: the rarest of
+    # those is an equi-join before the search. Shorter heads are searched in every document.
     items = t("benchmark").select("item_id", F.col("text").alias("e")).withColumn("head", F.lower(F.left(F.trim("e"), F.lit(60)))).filter(F.length(F.trim("e")) >= 20)
     parted = items.withColumn("ws", F.split("head", r"\s+"))
-    keyed, short = parted.filter(F.size("ws") >= 3).withColumn("k", F.get("ws", F.lit(1))), parted.filter(F.size("ws") < 3).select("item_id", "head")
+    inner = parted.filter(F.size("ws") >= 3).select("item_id", F.explode(F.array_distinct(F.slice("ws", 2, F.size("ws") - 2))).alias("k"))
+    short = parted.filter(F.size("ws") < 3).select("item_id", "head")
     docs = t("documents").select("doc_id", "text")
     words = docs.select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("w"))
-    hits = words.join(keyed.select("item_id", "k"), F.col("w") == F.col("k")).select("doc_id", "item_id")
+    words = cut(words.join(inner.select(F.col("k").alias("w")).distinct(), "w", "left_semi"))
+    common = words.groupBy(F.col("w").alias("k")).agg(F.count("*").alias("n"))
+    rarest = inner.join(common, "k", "left").groupBy("item_id").agg(F.min_by("k", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "k")).alias("k"))
+    hits = words.join(rarest, F.col("w") == F.col("k")).select("doc_id", "item_id")
     hits = hits.unionByName(docs.join(F.broadcast(short), F.position("head", F.lower("text")) > 0).select("doc_id", "item_id")).distinct()
     met = hits.join(docs, "doc_id").join(items, "item_id").filter(F.position("head", F.lower("text")) > 0)
     window = X.context_window(F.col("text"), F.col("e"), F.lit(None).cast("int"), F.lit(None).cast("string"), 300, 4000)
@@ -171,12 +160,12 @@ def page_metadata(t):
 
 @query(r"""SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<noscript\b.*?</noscript>|<svg\b.*?</svg>|<nav\b.*?</nav>|<footer\b.*?</footer>|<!--.*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g'), '[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'), '^ | $', '', 'g'), 'x^', '', 'g'))) AS text_md5 FROM pages""")
 def html_to_text(t):
-    return t("pages").select("page_id", F.md5(X.strip_html(F.col("html"), 10_000_000)).alias("text_md5"))
+    return t("pages").select("page_id", F.md5(X.strip_html(F.col("html"), None)).alias("text_md5"))
 
 
 @query(r"""SELECT page_id, list_distinct(regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1)).list_sort().array_to_string('|') AS links, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) <> '' AS has_h1 FROM pages""")
 def doc_links(t):
-    return t("pages").select("page_id", F.array_join(F.array_sort(X.document_links(F.col("html"))), "|").alias("links"), (F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1) != "").alias("has_h1"))
+    return t("pages").select("page_id", F.array_join(F.array_sort(X.links(F.col("html"))), "|").alias("links"), (F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1) != "").alias("has_h1"))
 
 
 @query(r"""SELECT prefix, count(*) AS n FROM (SELECT array_to_string(string_split(ltrim(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/'), '/')[1:2], '/') AS prefix FROM pages) GROUP BY prefix HAVING count(*) >= 3""")
@@ -261,7 +250,7 @@ def keyword_remap(t):
 
 @query()
 def name_groups(t):
-    names = t("part").select(F.col("p_partkey").alias("id"), X.normalise_name(F.col("p_type")).alias("s")).groupBy("s").agg(F.min("id").alias("id"))
+    names = t("part").select(F.col("p_partkey").alias("id"), X.normalise_name(F.col("p_name")).alias("s")).groupBy("s").agg(F.min("id").alias("id"))
     return G.components(G.fuzzy_pairs(names, 82.0, "id", "s").select("a", "b"), names.select(F.col("id").alias("node")))
 
 
@@ -513,9 +502,8 @@ def global_event_key(t):
 
     numbered = roles.select(F.col("role").alias("r"), F.row_number().over(Window.orderBy("role")).alias("p"))  # a row a role
     rows = t("conversations").select("conv_id", "turn", "role").join(F.broadcast(numbered), F.col("role") == F.col("r"))
-    n = F.row_number().over(Window.partitionBy("role").orderBy("conv_id", "turn"))
     pad = lambda c, k: F.lpad(c.cast("string"), F.greatest(F.lit(k), F.length(c.cast("string"))), F.lit("0"))
-    return rows.withColumn("n", n).select("conv_id", "turn", F.concat(F.lit("EVT-"), pad(F.col("p"), 3), F.lit("-"), pad(F.col("n"), 4)).alias("key"))
+    return R.running(rows, ["role"], ["conv_id", "turn"], F.lit(1), "n").select("conv_id", "turn", F.concat(F.lit("EVT-"), pad(F.col("p"), 3), F.lit("-"), pad(F.col("n"), 4)).alias("key"))
 
 
 @query("""SELECT conv_id, turn, role, min(turn) OVER (PARTITION BY conv_id, role) = turn AS declares, (SELECT count(DISTINCT role) FROM conversations d WHERE d.conv_id = c.conv_id AND d.turn <= c.turn) AS known FROM conversations c""")
@@ -582,7 +570,7 @@ def adjacency_pairs(t):
 def consensus_pairs(t):
     rep = F.explode(F.sequence(F.lit(0), F.lit(2)))
     g = t("supplier").select("s_suppkey", rep.alias("rep")).withColumn("grp", F.left(F.md5(F.concat_ws(":", F.col("rep").cast("string"), F.col("s_suppkey").cast("string"))), F.lit(2)))
-    return R.pairs_within(g, ["rep", "grp"], "s_suppkey", 2, 10_000).filter("n >= 2")
+    return R.consensus(g, "rep", "grp", "s_suppkey", 2)
 
 
 @query("""WITH m AS (SELECT l_suppkey AS cluster, l_partkey AS record FROM lineitem WHERE l_quantity >= 49), k AS (SELECT record, min(cluster) AS cluster FROM m WHERE record IN (SELECT p_partkey FROM part WHERE p_size <= 25) GROUP BY 1), z AS (SELECT cluster, row_number() OVER (ORDER BY cluster)::INTEGER AS number FROM k GROUP BY cluster HAVING count(*) >= 3)
@@ -661,3 +649,6 @@ def sweep_converged(t):
 
     rows = t("embeddings").select(F.col("vec_id").alias("record"), F.col("embedding").alias("v"))
     return sweep(rows, nearest_seed_provider(0.35), batch=200, rounds=4)
+
+
+from . import pages, records, texts  # noqa: E402, F401  their queries join the catalogue

@@ -58,3 +58,8 @@ def markdown_rows(df: DataFrame) -> DataFrame:
     """(line): the rows as lines of a Markdown table, without its head."""
     cells = [F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), r"[|\n]", " ") for c in df.columns]
     return df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+
+
+def csv(df: DataFrame, path: str) -> None:
+    """CSV with a header, quotes doubled inside quoted cells, nulls empty."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -6,18 +6,21 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..sources.sinks import upsert
 
 
-def refresh(spark: SparkSession, source: str, schema: str, target: str, key: str, checkpoint: str) -> None:
+def refresh(spark: SparkSession, source: str, schema: str, target: str, key: str, checkpoint: str, position: list[str] | None = None) -> None:
     """Bring a versioned table up to date with the files that arrived since the last call. The stream's checkpoint knows which those
-    are; a micro-batch that runs again writes the same rows by key, so its effect is the same once or twice."""
+    are. Of a micro-batch's rows with one key the last by ``position`` (else by all columns) is kept, so a micro-batch that runs again writes
+    the same rows and its effect is the same once or twice."""
 
     def merge(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            upsert(spark, batch.dropDuplicates([key]), target, key)
+            last = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.struct(*(position or batch.columns))).alias("r")).select("r.*")
+            upsert(spark, last, target, key)
 
     stream = spark.readStream.schema(schema).parquet(source)
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
