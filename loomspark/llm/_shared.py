@@ -16,8 +16,8 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a small side (a few narrow columns) is broadcast: some 10 MB.
-BROADCAST_ROWS = 100_000
+#: Rows and bytes (as JSON) up to which a small side is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 10 << 20
 #: Pieces into which each key of a join is dealt when its small side is too large to broadcast.
 SALTS = 16
 
@@ -65,16 +65,21 @@ def deal(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def attach(big: DataFrame, small: DataFrame, key: str, rows: int | None = None, how: str = "left") -> DataFrame:
+def is_small(df: DataFrame) -> bool:
+    """Whether a written table may be broadcast, by its rows and its bytes."""
+    rows, size = df.agg(F.count("*"), F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
+def attach(big: DataFrame, small: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join a table with one row per key to a large one, nulls matching nulls, however skewed the key.
 
-    The small side is counted (it should be a written table): up to BROADCAST_ROWS rows it is broadcast and the large
+    The small side is measured (it should be a written table): up to BROADCAST_ROWS rows and BROADCAST_BYTES it is broadcast and the large
     side stays where it is. Beyond, each small row is repeated for SALTS pieces and the large rows of a key are dealt
     over those, so no key lands in one task.
     """
-    rows = small.count() if rows is None else rows
     right = small.withColumnRenamed(key, "__key")
-    if rows <= BROADCAST_ROWS:
+    if is_small(small):
         return big.join(F.broadcast(right), big[key].eqNullSafe(right["__key"]), how).drop("__key")
     right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     left = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))

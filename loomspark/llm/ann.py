@@ -173,7 +173,6 @@ def search(vectors: DataFrame, k: int, query_every: int, tables: int = 16, probe
     crowds = asked.groupBy(name.alias("name_q")).count().withColumnRenamed("count", "q")
     plan = sizes.join(crowds, F.col("name") == F.col("name_q"), "left").select("name", F.ceil(F.col("count") / CELL).cast("int").alias("parts"), F.ceil(F.coalesce("q", F.lit(0)) / ASKED).cast("int").alias("q_parts"))
     plan = written(plan, "ann-cells")
-    n_cells = plan.count()
 
     def meet(left: DataFrame, right: DataFrame) -> DataFrame:
         """Rows of a cell (name, parts, q_parts, vec_id, v) and queries looking into it, dealt over the cell's parts."""
@@ -200,8 +199,8 @@ def search(vectors: DataFrame, k: int, query_every: int, tables: int = 16, probe
         order = Window.partitionBy("query_id").orderBy("score", "vec_id")
         return found.distinct().withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    left = attach(placed.select("vec_id", "v", name.alias("name")), plan, "name", n_cells, "inner")
-    found = written(merged(meet(left, attach(asked.select("vec_id", "v", name.alias("name")), plan, "name", n_cells, "inner"))), "ann-found")
+    left = attach(placed.select("vec_id", "v", name.alias("name")), plan, "name", how="inner")
+    found = written(merged(meet(left, attach(asked.select("vec_id", "v", name.alias("name")), plan, "name", how="inner"))), "ann-found")
     queries = hashed.filter("look is not null").select("vec_id", "v")
     full = found.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
     short = written(queries.join(full, "vec_id", "left_anti"), "ann-short")
@@ -210,7 +209,7 @@ def search(vectors: DataFrame, k: int, query_every: int, tables: int = 16, probe
         return found
     # All cells of the first table hold all rows.
     all_cells = plan.filter(F.col("name") % tables == 0).withColumn("q_parts", F.lit(math.ceil(few / ASKED)))
-    every = attach(placed.filter("t = 0").select("vec_id", "v", name.alias("name")), all_cells, "name", n_cells, "inner")
+    every = attach(placed.filter("t = 0").select("vec_id", "v", name.alias("name")), all_cells, "name", how="inner")
     looked = short.withColumn("t", F.lit(0)).join(all_cells.withColumn("t", F.lit(0)), "t").drop("t")
     again = merged(meet(every, looked))
     return found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select("query_id", "rank", "vec_id", "score").unionByName(again)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import BROADCAST_ROWS, by_deal, lean, slices, written
+from ._shared import by_deal, is_small, lean, slices, written
 from .components import components, stars
 
 #: Set sizes from which bins are used; bytes of keys a task of the exchange gets about; bytes of text a verifying task gets about.
@@ -257,7 +257,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: s
     sums = members.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("many"), F.sum(F.col("n") * 8).alias("bytes")).filter("many > 1")
     members = members.join(sums, F.col("component") == F.col("c")).select("id", "component", F.ceil(F.col("bytes") / BLOCK).cast("int").alias("blocks"), "bytes")
     members = written(members, "jaccard-members")
-    n_members, total = members.agg(F.count("*"), F.sum("bytes")).first()
     light = written(members.select("component", "bytes", "blocks").distinct().filter("blocks = 1"), "jaccard-light")
     shares = max(1, math.ceil((light.agg(F.sum("bytes")).first()[0] or 0) / BLOCK))
     # Small components share tasks; of a large one each pair of its blocks is a task.
@@ -266,7 +265,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: s
     pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(F.transform(F.expr("sequence(0, blocks - 1)"), lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j"))))
     task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(shares))).otherwise(F.xxhash64("component", "p.i", "p.j"))
     placed = members.withColumn("p", F.explode(pairs)).select("id", "component", "block", task.alias("task"))
-    placed = F.broadcast(placed) if n_members <= BROADCAST_ROWS else placed
+    placed = F.broadcast(placed) if is_small(members) else placed
     texts = own.join(placed, own["doc_id"] == placed["id"]).select("task", "component", "block", "id", "text")
 
     def verified(group: pa.Table) -> pa.Table:
@@ -287,7 +286,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_
     Rows with a null id or an empty set link with nothing and stay."""
     found = written(jaccard_components(docs, k, percent, doc_id, text), "jaccard-found")
     gone = written(found.filter("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "jaccard-gone")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    gone = F.broadcast(gone) if is_small(gone) else gone
     kept = docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
     again = found.filter("n_shingles > 0 and component_id = doc_id").groupBy("doc_id").count().filter("count > 1")
     if again.isEmpty():

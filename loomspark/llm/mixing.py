@@ -69,10 +69,9 @@ def _cuts(sized: DataFrame, weights: tuple[int, ...], share: tuple[int, int], ep
     size, target = F.col("source_size"), F.col("target")
     whole = F.when(size > 0, F.floor(target / size)).otherwise(0)
     plan = written(targets.withColumn("whole", whole.cast("long")).withColumn("__need", F.floor(target - F.col("whole") * size).cast("long")), "mix-plan")
-    rows = plan.count()
     needs = plan.select("source", "__need").filter("__need > 0")
-    first = _crossed(attach(cells, needs, "source", rows, "inner"), "__cell")
-    near = attach(sized.filter("size > 0"), first.select("source", "__need", "__cell"), "source", rows, "inner").filter(F.col("__order").startswith(F.col("__cell")))
+    first = _crossed(attach(cells, needs, "source", how="inner"), "__cell")
+    near = attach(sized.filter("size > 0"), first.select("source", "__need", "__cell"), "source", how="inner").filter(F.col("__order").startswith(F.col("__cell")))
     found = _crossed(near.groupBy("source", "__need", "__order").agg(F.sum("size").alias("__words")), "__order")
     found = found.select(F.col("source").alias("__s"), F.col("__order").alias("cut"), F.col("__need").alias("cut_words"), F.col("__words").alias("cut_size"))
     return plan.drop("__need").join(found, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
