@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import fresh_path, written
+from ._shared import attach, fresh_path, written
 
 #: Uncompressed bytes after which a task starts another archive; record headers longer than this are refused.
 ROLL, HEADER_MOST = 64 << 20, 1 << 20
@@ -214,8 +214,9 @@ def resolve_revisits(index: DataFrame, folder: str, least: int = 1000) -> DataFr
     key = [F.col("payload_digest"), F.col("payload_bytes")]
     last = F.struct("page_id", "file", "offset", "url")
     groups = index.filter(F.col("payload_bytes") >= least).groupBy(*key).agg(F.max(last).alias("__last"), F.count("*").alias("__n"))
-    groups = groups.filter("__n > 1").select(*[k.alias(f"__{n}") for k, n in zip(key, ("d", "b"), strict=True)], "__last")
-    decided = index.join(groups, (F.col("payload_digest") == F.col("__d")) & (F.col("payload_bytes") == F.col("__b")), "left")
+    name = F.concat_ws(":", *key)
+    groups = written(groups.filter("__n > 1").select(name.alias("__name"), "__last"), "warc-last")
+    decided = attach(index.withColumn("__name", name), groups, "__name")  # a digest that very many payloads share is dealt out
     same = (F.col("file") == F.col("__last.file")) & (F.col("offset") == F.col("__last.offset"))
     revisit = F.col("__last").isNotNull() & ~same
     decided = decided.select("file", "offset", revisit.alias("revisit"), F.when(revisit, F.col("__last.page_id")).alias("to_id"), F.when(revisit, F.col("__last.url")).alias("to_url"))
