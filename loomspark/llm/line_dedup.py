@@ -8,7 +8,8 @@ lines, so its list is one small row, joined to the pages by broadcast if the tab
 by key with the hot hosts dealt out; pages are never exploded and put together again.
 
 Defined cases: a null host is a host of its own; null text stays null and has no lines; blank lines are always kept; repeated rows
-are pages of their own; a text all of whose lines go becomes empty.
+are pages of their own; a text all of whose lines go becomes empty; a column name this adds or uses inside (``__host``, ``__lines``, ``__kept``) that is
+already present is an error.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ def boilerplate(docs: DataFrame, ratio: float, least: int, text: str = "text", h
 
 def drop_lines(docs: DataFrame, ratio: float = 0.05, least: int = 5, text: str = "text", host: str = "source", counts: bool = False) -> DataFrame:
     """The table with the boilerplate lines taken out of ``text``; with ``counts`` also ``lines_total`` and ``lines_dropped``."""
+    if clash := {"__host", "__lines", "__kept", *(("lines_total", "lines_dropped") if counts else ())} & set(docs.columns):
+        raise ValueError(f"columns already present: {sorted(clash)}")
     common = boilerplate(docs, ratio, least, text, host).select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
     met = attach(docs.withColumn("__host", F.col(host)), common, "__host")
     lines = F.split(F.col(text), "\n")
