@@ -145,14 +145,15 @@ FROM k
 """
 
 
-def _op8_sql(depth: int = 4) -> str:
+def _op8_sql(depth: int = 8) -> str:
+    """The levels of the tree up to a depth that no path of the test tables goes beyond."""
     level = """
 n{d} AS (SELECT *, segs[{d}] AS s FROM l{p}),
 c{d} AS (SELECT host, t, s, sum(n) AS n, sum(lab) AS lab, sum(blk) AS blk FROM n{d} WHERE s IS NOT NULL GROUP BY ALL),
 k{d} AS (
   SELECT host, t, s FROM (SELECT *, count(*) OVER w AS fan, sum(n) OVER w AS an, (sum(lab) OVER w)::DOUBLE AS al, (sum(blk) OVER w)::DOUBLE AS ab FROM c{d} WINDOW w AS (PARTITION BY host, t))
-  WHERE NOT (fan > 20 AND n < 0.05::DOUBLE * an) AND (fan = 1 OR (lab >= 5 AND al - lab >= 5 AND
-        abs(blk / lab::DOUBLE - (ab - blk) / (al - lab)) > 1.96::DOUBLE * sqrt(ab / al * (1 - ab / al) * (1 / lab::DOUBLE + 1 / (al - lab)))))),
+  WHERE (fan = 1 OR (lab >= 5 AND al - lab >= 5 AND
+        abs(blk / lab::DOUBLE - (ab - blk) / (al - lab)) > CASE WHEN fan > 20 AND n < 0.05::DOUBLE * an THEN 4.0::DOUBLE ELSE 1.96::DOUBLE END * sqrt(ab / al * (1 - ab / al) * (1 / lab::DOUBLE + 1 / (al - lab)))))),
 l{d} AS (
   SELECT host, segs, n, lab, blk, t || CASE WHEN n{d}.s IS NULL THEN '' WHEN k{d}.s IS NOT NULL THEN '/' || n{d}.s ELSE '/*' END AS t
   FROM n{d} LEFT JOIN k{d} USING (host, t, s)),"""
@@ -172,7 +173,7 @@ g AS (
       lambda s: CASE WHEN regexp_matches(s, '^[0-9a-fA-F-]{16,}$') THEN '*' ELSE regexp_replace(s, '[0-9]+', '*', 'g') END) END AS segs
   FROM r),
 l0 AS (SELECT host, segs, count(*) AS n, count(said) AS lab, count(*) FILTER (said = 'block') AS blk, '' AS t FROM g GROUP BY host, segs),""" + "".join(level.format(d=d, p=d - 1) for d in range(1, depth + 1)) + f"""
-f AS (SELECT host, segs, lab, blk, t || CASE WHEN len(segs) > {depth} THEN '/**' ELSE '' END AS template FROM l{depth}),
+f AS (SELECT host, segs, lab, blk, t AS template FROM l{depth}),
 m AS (SELECT host, template, sum(lab)::DOUBLE AS lab, sum(blk)::DOUBLE AS blk FROM f GROUP BY ALL),
 p AS (SELECT (sum(blk) + 1) / (sum(lab) + 2) AS prior FROM m),
 o AS (SELECT host, (sum(blk) + 4.0::DOUBLE * any_value(prior)) / (sum(lab) + 4.0::DOUBLE) AS ph FROM m, p GROUP BY host),

@@ -2,9 +2,8 @@
 
 Urls that a rule fits take the rule's verdict and are the labels; the others are judged by their template. Per host the paths
 are cut into segments, numbers and long hexadecimal names in them become wildcards, and equal shapes are counted before anything is shuffled. Then, level by
-level from the root, the children of each node are generalised: a literal segment becomes a wildcard where its node has many
-children and it is rare among them, and where its branch is statistically similar to its siblings: the shares of blocked labels do
-not differ by a two-proportion test. A template is rejected where its blocked share, smoothed towards its host's and that
+level from the root as far as any path goes, the children of each node are generalised: a literal segment becomes a wildcard where its branch is statistically
+similar to its siblings: the shares of blocked labels do not differ by a two-proportion test, which is stricter for a child that is rare among many, as some of those differ by chance. A template is rejected where its blocked share, smoothed towards its host's and that
 towards the whole table's, is ``reject`` or more. A node's children are compared with the node's sums, never with each
 other; hot hosts are counted with partial sums, and the few shapes are joined back to the pages by broadcast, or with
 the keys dealt out where they are many.
@@ -37,14 +36,13 @@ class Rule:
 
 @dataclass(frozen=True)
 class Tree:
-    """depth: levels of the tree, deeper segments share one wildcard; fan, rare: a segment with less than ``rare`` of its
-    node's urls is generalised if the node has more than ``fan`` children; z: of the test; weight: of the smoothing, in labels;
-    least: labels either side of a test has to have; reject: smoothed blocked share from which a template is blocked."""
+    """z: of the test; rare_z: of the test of a segment with less than ``rare`` of its node's urls where the node has more than ``fan`` children;
+    weight: of the smoothing, in labels; least: labels either side of a test has to have; reject: smoothed blocked share from which a template is blocked."""
 
-    depth: int = 4
     fan: int = 20
     rare: float = 0.05
     z: float = 1.96
+    rare_z: float = 4.0
     least: int = 5
     weight: float = 4.0
     reject: float = 0.7
@@ -76,33 +74,39 @@ def shape(path: Column) -> Column:
     return F.when(path == "", F.array().cast("array<string>")).otherwise(general)
 
 
-def _differs(n: Column, b: Column, all_n: Column, all_b: Column, tree: Tree) -> Column:
+def _differs(n: Column, b: Column, all_n: Column, all_b: Column, z: Column, tree: Tree) -> Column:
     """Whether b of n and the rest of all_b of all_n are shares that differ, by a two-proportion test."""
     m, c = all_n - n, all_b - b
     p = all_b / all_n
     error = F.sqrt(p * (1 - p) * (1 / n + 1 / m))
-    return (n >= tree.least) & (m >= tree.least) & (F.abs(b / n - c / m) > F.lit(tree.z) * error)
+    return (n >= tree.least) & (m >= tree.least) & (F.abs(b / n - c / m) > z * error)
 
 
 def templates(shapes: DataFrame, tree: Tree) -> DataFrame:
     """From (key, host, segments, n, labelled, blocked) a row a shape: the same with ``template``, its generalised path."""
-    rows = shapes.withColumn("__t", F.lit(""))
-    for d in range(1, tree.depth + 1):
-        here = rows.withColumn("__s", F.get("segments", F.lit(d - 1)))
+    rows, done = shapes.withColumn("__t", F.lit("")), []
+    deepest = shapes.agg(F.max(F.size("segments"))).first()[0] or 0
+    for d in range(1, deepest + 1):
+        # Shapes that end here are done; each level works on those that go on.
+        done.append(rows.filter(F.size("segments") < d))
+        here = rows.filter(F.size("segments") >= d)
+        here = here.withColumn("__s", F.get("segments", F.lit(d - 1)))
         sums = [F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]
-        children = here.filter("__s is not null").groupBy("host", "__t", "__s").agg(*sums)
+        children = here.groupBy("host", "__t", "__s").agg(*sums)
         nodes = children.groupBy(F.col("host").alias("h"), F.col("__t").alias("t")).agg(F.count("*").alias("fan"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "blocked")])
         met = children.join(nodes, (F.col("host") == F.col("h")) & (F.col("__t") == F.col("t")))
         rare = (F.col("fan") > tree.fan) & (F.col("n") < F.lit(tree.rare) * F.col("all_n"))
-        alike = (F.col("fan") > 1) & ~F.coalesce(_differs(F.col("labelled"), F.col("blocked"), F.col("all_labelled"), F.col("all_blocked"), tree), F.lit(False))
+        z = F.when(rare, tree.rare_z).otherwise(tree.z)
+        alike = (F.col("fan") > 1) & ~F.coalesce(_differs(F.col("labelled"), F.col("blocked"), F.col("all_labelled"), F.col("all_blocked"), z, tree), F.lit(False))
         # A dictionary of the literal branches that stay; all other segments at this level are wildcards.
-        stay = met.filter(~rare & ~alike).select(F.col("host").alias("h"), F.col("__t").alias("t"), F.col("__s").alias("s"))
+        stay = met.filter(~alike).select(F.col("host").alias("h"), F.col("__t").alias("t"), F.col("__s").alias("s"))
         rows = here.join(stay, (F.col("host") == F.col("h")) & (F.col("__t") == F.col("t")) & (F.col("__s") == F.col("s")), "left")
-        step = F.when(F.col("__s").isNull(), "").when(F.col("s").isNotNull(), F.concat(F.lit("/"), F.col("__s"))).otherwise("/*")
+        step = F.when(F.col("s").isNotNull(), F.concat(F.lit("/"), F.col("__s"))).otherwise("/*")
         rows = rows.withColumn("__t", F.concat("__t", step)).drop("__s", "h", "t", "s")
         rows = written(rows, "url-level")
-    deep = F.when(F.size("segments") > tree.depth, "/**").otherwise("")
-    return rows.withColumn("template", F.concat("__t", deep)).drop("__t")
+    for part in done:
+        rows = rows.unionByName(part)
+    return rows.withColumnRenamed("__t", "template")
 
 
 def filter_urls(pages: DataFrame, rules: list[Rule], tree: Tree = Tree(), page_id: str = "page_id", url: str = "url") -> DataFrame:
@@ -111,7 +115,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], tree: Tree = Tree(), page_i
     own = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     rule, said = longest_rule(F.col("host"), F.col("path"), rules)
     own = own.withColumns({"rule": rule, "said": said, "segments": shape(F.col("path"))})
-    own = own.withColumn("key", F.concat_ws("\x01", F.col("host"), F.size("segments").cast("string"), F.array_join("segments", "/")))
+    own = own.withColumn("key", F.to_json(F.struct("host", "segments")))
     own = written(own, "url-shapes")
     labelled, blocked = F.count("said").alias("labelled"), F.count_if(F.col("said") == "block").alias("blocked")
     shapes = own.groupBy("key").agg(F.first("host").alias("host"), F.first("segments").alias("segments"), F.count("*").alias("n"), labelled, blocked)
