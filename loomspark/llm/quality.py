@@ -11,7 +11,7 @@ Features of a text, from its UTF-8 bytes: square roots of the shares of each byt
 kinds of characters, of short, repeated and cut-off words, of distinct words and lines. Neither labels nor language, source or id are among them.
 
 Defined cases: null text is the empty text, whose features are the offset alone, and is scored; null ids are never held out and
-never labelled; repeated rows are scored alike; of several labels of one id the smallest counts; without any labelled positive every score is the prior (0.5 where
+never labelled; repeated rows are scored alike, and of rows with one id one text is learnt from; of several labels of one id the smallest counts; without any labelled positive every score is the prior (0.5 where
 that can't be estimated either); an empty table gives an empty table.
 """
 
@@ -135,14 +135,15 @@ def fit(docs: DataFrame, labels: DataFrame, samples: Samples = Samples(), doc_id
     chosen = first(marks.filter("label = 1"), samples.positives, "p").unionByName(first(marks, samples.labelled, "l"))
     any_row = first(own.select("id").withColumn("label", F.lit(None).cast("int")), samples.unlabelled, "u")
     chosen = written(chosen.unionByName(any_row), "quality-sample")  # at most the sum of the bounds, ids only
-    texts = own.join(F.broadcast(chosen), "id").select("id", "text", "label", "use")
+    texts = own.join(F.broadcast(chosen), "id").groupBy("id", "use").agg(F.min_by(F.struct("text", "label"), F.struct(F.xxhash64("text"), "text")).alias("r"))
+    texts = texts.select(F.col("id").cast("string").alias("id"), "r.text", "r.label", "use")
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [features(t).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(x, pa.binary()), batch.column(2), batch.column(3)], ["id", "x", "label", "use"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary()), batch.column(2), batch.column(3)], ["id", "x", "label", "use"])
 
-    rows = texts.mapInArrow(lean(described), "id long, x binary, label int, use string")
+    rows = texts.mapInArrow(lean(described), "id string, x binary, label int, use string")
 
     def learn(group: pa.Table) -> pa.Table:
         ids, use = np.array(group.column("id")), np.array(group.column("use").to_pylist())
