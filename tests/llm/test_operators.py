@@ -51,6 +51,17 @@ def test_warc_round_trip(spark):
     assert archive_round_trip(pages(spark, []).select("page_id", "url", "html")).count() == 0
 
 
+def test_warc_hot_digest_is_dealt_out(spark, monkeypatch):
+    from loomspark.llm import _shared
+    from loomspark.llm.warc import archive_round_trip
+
+    monkeypatch.setattr(_shared, "BROADCAST_ROWS", 0)
+    rows = [(i, f"u{i}", "h" * 1500 if i % 3 else f"{i} " * 500, 1, "f") for i in range(120)]
+    got = {r.page_id: r for r in archive_round_trip(pages(spark, rows)).collect()}
+    assert all(r.record_type == "response" for i, r in got.items() if i % 3 == 0 or i == 119)
+    assert all(r.refers_to == 119 for i, r in got.items() if i % 3 and i != 119) and len(got) == 120
+
+
 def test_warc_records_can_be_read():
     from loomspark.llm.warc import members, parse, record
     import io
@@ -158,6 +169,15 @@ def test_mixing(spark, sources):
     assert mixed_rows(df).columns == df.columns
 
 
+def test_mixing_long_text(spark):
+    from loomspark.llm.mixing import mix
+
+    texts = ["word " * 200_000, "a b c", "d", None, "\u00a0 \u3000"]
+    rows = {r.doc_id: r for r in mix(docs(spark, texts, ["s", "t"])).collect()}
+    assert [rows[i].size for i in range(5)] == [200_000, 3, 1, 0, 2]
+    assert sum(r.taken for r in rows.values()) <= 1.5 * 200_006 + 1 and all(r.taken <= 2 * r.size for r in rows.values())
+
+
 def test_mixing_repeats_and_empty(spark):
     from loomspark.llm.mixing import mix
 
@@ -409,6 +429,19 @@ def test_line_dedup(spark):
     assert drop_lines(docs(spark, [])).count() == 0
 
 
+def test_line_dedup_long_text_and_clashes(spark):
+    from loomspark.llm.line_dedup import drop_lines
+
+    rnd = random.Random(10)
+    long = "\n".join(["Menu", *[words(rnd, 6) for _ in range(20_000)], "Menu"])
+    texts = [long, *["Menu\nown " + words(rnd, 3) for _ in range(9)]]
+    got = {r.doc_id: r.text for r in drop_lines(docs(spark, texts), 0.3, 4).collect()}
+    assert got[0] == long[5:-5] and all(t.startswith("own") for i, t in got.items() if i)
+    for name in ("lines_total", "lines_dropped", "__lines"):
+        with pytest.raises(ValueError):
+            drop_lines(docs(spark, texts).withColumnRenamed("lang", name), counts=True)
+
+
 # --- urls
 
 
@@ -436,6 +469,24 @@ def test_url_filter_rules_and_templates(spark):
     assert filter_urls(df.limit(0), rules).count() == 0
 
 
+def test_url_filter_deep_long_and_rare_branches(spark):
+    from loomspark.llm.url_filter import Rule, filter_urls
+
+    rules = [Rule("block", "h.com", "/a/b/c/d/e/bad/"), Rule("allow", "h.com", "/a/b/c/d/e/good/"), Rule("block", "w.com", "/rare/blocked/")]
+    urls = [f"http://h.com/a/b/c/d/e/{k}/{i}" for k in ("bad", "good") for i in range(30)]
+    urls += ["http://o.com/" + "x/" * 12 + "y" * 5000, "http://o.com//", "http://o.com/a/b"]
+    # A wide host: the rare branch's own labels are all blocked, its siblings' urls have a rule of their own each.
+    urls += [f"http://w.com/rare/{'blocked' if i % 2 else 'other'}/{i}" for i in range(40)] + [f"http://w.com/s{chr(97 + k)}x/p{i}" for k in range(26) for i in range(60)]
+    rules += [Rule("allow", "w.com", f"/s{chr(97 + k)}x/") for k in range(26)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in filter_urls(df, rules).collect()}
+    assert len(got) == len(urls)
+    assert {got[i].template for i in range(30)} == {"/a/b/c/d/e/bad/*"} and {got[i].template for i in range(30, 60)} == {"/a/b/c/d/e/good/*"}
+    assert got[0].purity > 0.7 > 0.3 > got[30].purity
+    rare = [got[i] for i in range(len(urls)) if "w.com/rare" in urls[i]]
+    assert all(r.template.startswith("/rare/") for r in rare) and {r.verdict for r in rare if r.rule is None} == {"block"}
+
+
 # --- Jaccard
 
 
@@ -520,6 +571,66 @@ def test_quality_on_held_out_rows(spark):
     assert all(math.isclose(again[r.doc_id], r.score, rel_tol=1e-6, abs_tol=1e-9) for r in got)  # held-out labels are never read
 
 
+def test_risk_and_its_minimum_against_brute_force():
+    from loomspark.llm.quality import calibrate, fit_nnpu
+
+    rng = np.random.default_rng(5)
+    p = np.c_[rng.normal(1.5, 1, (300, 3)), np.ones(300)]
+    u = np.c_[np.r_[rng.normal(1.5, 1, (120, 3)), rng.normal(-1.5, 1, (280, 3))], np.ones(400)]
+    prior, decay = 0.3, 1e-3
+
+    def parts(w):
+        loss = lambda x: math.log1p(math.exp(-abs(x))) + max(0.0, -x)  # noqa: E731  of a margin
+        positive = prior * sum(loss(x @ w) for x in p) / len(p)
+        return positive, sum(loss(-(x @ w)) for x in u) / len(u) - prior * sum(loss(-(x @ w)) for x in p) / len(p)
+
+    def risk(w):
+        a, b = parts(w)
+        return a + max(0.0, b) + decay * (w @ w) / 2
+
+    w = fit_nnpu(p, u, prior, rounds=600)
+    assert risk(w) < risk(np.zeros(4)) and parts(w)[1] > -0.02
+    for k in range(4):  # no coordinate step lowers the risk by much
+        for h in (0.05, -0.05):
+            assert risk(w + h * np.eye(4)[k]) > risk(w) - 1e-3
+    # One step from a given place goes along the gradient (central differences), or against that of the second part where it is negative.
+    one = fit_nnpu(p, u, prior, rounds=1)
+    grad = np.array([(risk(1e-5 * e) - risk(-1e-5 * e)) / 2e-5 for e in np.eye(4)])
+    assert (np.sign(one) == -np.sign(grad)).all()
+    # Platt: the minimum of the cross entropy with smoothed targets, by a grid around it.
+    margin = rng.normal(0, 2, 500)
+    label = (rng.random(500) < 1 / (1 + np.exp(-(1.3 * margin - 0.4)))).astype(int)
+    a, b = calibrate(margin, label)
+    y = np.where(label > 0, (label.sum() + 1) / (label.sum() + 2), 1 / ((1 - label).sum() + 2))
+    cross = lambda a, b: -(y * np.log(1 / (1 + np.exp(-(a * margin + b)))) + (1 - y) * np.log(1 / (1 + np.exp(a * margin + b)))).sum()
+    assert all(cross(a, b) <= cross(a + i, b + j) + 1e-4 for i in (-0.02, 0, 0.02) for j in (-0.02, 0, 0.02))
+    assert abs(a - 1.3) < 0.4 and abs(b + 0.4) < 0.4
+
+
+def test_quality_repeats_long_texts_and_other_ids(spark):
+    from pyspark.sql import functions as F
+
+    from loomspark.llm.quality import classify, score
+
+    rnd = random.Random(9)
+    good, bad = [words(rnd, 60) for _ in range(40)], [" ".join("###" + w for w in words(rnd, 60).split()) for _ in range(40)]
+    texts = good + bad + [words(rnd, 40_000), good[0]]
+    rows = [(f"d{i}", t, "x") for i, t in enumerate(texts)] + [("d0", bad[0], "x")] * 50
+    df = spark.createDataFrame(rows, "doc_id string, text string, score string")
+    labels = spark.createDataFrame([(f"d{i}", int(i < 40)) for i in range(80)], "doc_id string, quality int")
+    got = classify(df, labels).collect()
+    again = {(r.doc_id, r.score) for r in classify(df.repartition(5), labels).collect()}
+    assert len(got) == len(rows) and {(r.doc_id, r.score) for r in got} == again
+    by = defaultdict(set)
+    for r in got:
+        by[r.doc_id].add(r.score)
+    assert len(by["d0"]) == 2 and by["d81"] <= by["d0"]  # equal texts, equal scores
+    assert np.mean([min(by[f"d{i}"]) for i in range(1, 40)]) > np.mean([max(by[f"d{i}"]) for i in range(40, 80)]) + 0.3
+    with pytest.raises(ValueError):
+        score(df, np.zeros(10))
+    assert df.select(F.col("score")).count() == len(rows)
+
+
 def test_quality_odd_tables(spark):
     from loomspark.llm.quality import classify
 
@@ -575,6 +686,24 @@ def test_pipeline_stages(spark, tmp_path):
     assert all(r.n_tokens == len(library.encode(clean[r.doc_id])) for r in rows)
 
 
+def test_pipeline_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(18)
+    good = [words(rnd, 80, 60) for _ in range(40)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(good)]
+    rows += [(100, None, None, None, None), (101, "", "en", "s", 0), (None, good[0] + " tail", "en", None, 1), (None, words(rnd, 90, 60), "en", "s", 1), (3, good[3], "en", "s", 1), (102, words(rnd, 60_000, 60), "en", "t", 1)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/a/documents.parquet")
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/b/documents.parquet")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    for name in "ab":
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/a").collect()
+    ids = [r.doc_id for r in got]
+    assert 102 in ids and set(range(40)) & set(ids) and 100 not in ids and 101 not in ids  # a text without words is never taken
+    assert ids.count(3) <= 2 and corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
+
+
 def test_queries_are_registered():
     import __spark_entry__
 
@@ -590,10 +719,10 @@ def test_attach_deals_out_large_sides(spark, monkeypatch):
 
     big = spark.createDataFrame([(i, None if i % 3 == 0 else f"k{i % 5}") for i in range(60)], "i int, k string")
     small = spark.createDataFrame([(None, 0), *[(f"k{i}", i + 1) for i in range(4)]], "k string, v int")
-    for how in ("left", "inner"):
+    for how, rnd in (("left", "BROADCAST_ROWS"), ("inner", "BROADCAST_ROWS"), ("left", "BROADCAST_BYTES")):
         plain = sorted(map(str, _shared.attach(big, small, "k", how=how).collect()))
         with monkeypatch.context() as m:
-            m.setattr(_shared, "BROADCAST_ROWS", 0)
+            m.setattr(_shared, rnd, 0)
             dealt = _shared.attach(big, small, "k", how=how)
             assert sorted(map(str, dealt.collect())) == plain and dealt.columns == ["i", "k", "v"]
             assert dealt.filter(F.col("k").isNull()).count() == 20
