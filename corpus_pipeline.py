@@ -1,4 +1,9 @@
-"""Corpus preparation: quality, boilerplate lines, near copies, mixture, tokens. Each stage reads what its predecessor wrote."""
+"""Corpus preparation: quality, boilerplate lines, near copies, mixture, tokens. Each stage reads what its predecessor wrote.
+
+Defined cases: null and empty texts are scored as empty ones and go in the first stage if the classifier rejects them, else they stay, have no words, link with nothing and are not taken by the mixture;
+rows that share an id are one document to the near copies, of which one row stays, and rows with a null id are each their own; a null source is a source; columns beyond those of ``documents`` are passed through up to the
+last stage; an empty table gives an empty table.
+"""
 
 from __future__ import annotations
 
