@@ -74,14 +74,6 @@ def lines_and_paragraphs(t):
     return t("documents").select("doc_id", F.size(F.filter(lines, X.is_skip_line)).cast("long").alias("skipped"), F.size(X.paragraphs(F.col("text"), 50)).cast("long").alias("paragraphs"))
 
 
-@query("""WITH RECURSIVE d AS (SELECT doc_id, list_transform(string_split(regexp_replace(text, '([.!?])[\\s\\x0b]+([A-Z])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: length(x)) AS l FROM documents WHERE length(text) > 4000),
-f(doc_id, l, i, seq, held, part, ended) AS (SELECT doc_id, l, 1, 0, l[1] + 1, l[1], NULL::BIGINT FROM d UNION ALL SELECT doc_id, l, i + 1, CASE WHEN held + l[i + 1] > 4000 THEN seq + 1 ELSE seq END, CASE WHEN held + l[i + 1] > 4000 THEN l[i + 1] ELSE held + l[i + 1] + 1 END, CASE WHEN held + l[i + 1] > 4000 THEN l[i + 1] ELSE part + 1 + l[i + 1] END, NULL FROM f WHERE i < len(l))
-SELECT doc_id, seq::INTEGER AS seq, max(part)::INTEGER AS size FROM f GROUP BY ALL UNION ALL SELECT doc_id, 0, length(text) FROM documents WHERE length(text) <= 4000""")
-def sentence_parts(t):
-    parts = t("documents").select("doc_id", F.posexplode(X.split_long(F.col("text"), 4000)).alias("seq", "part"))
-    return parts.select("doc_id", "seq", F.length("part").alias("size"))
-
-
 _MARKED = "regexp_replace(text, '([.])[ ]', '.' || chr(10) || chr(10), 'g')"
 
 
