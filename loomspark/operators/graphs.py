@@ -81,6 +81,43 @@ def close_pairs(vectors: DataFrame, least: float, id: str, vector: str, block: i
     return left.join(right, "other").select("block", "other", "ids", "xs", "ids_b", "xs_b").mapInPandas(near, "a long, b long, cosine double")
 
 
+def nearest_rows(left: DataFrame, right: DataFrame, least: float, block: int = 2048) -> DataFrame:
+    """(id, nearest, cosine) of each (id, v) of ``left`` with a row (id, v) of ``right`` at ``least`` or more; ties to the smaller id of ``right``.
+
+    Both sides are packed into blocks of unit rows and each pair of blocks is multiplied as two matrices, of which the best of each left row goes on: nothing is
+    broadcast, and a task holds two blocks. Vectors that are null, zero or hold nulls take no part."""
+
+    def packed(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        rows = cut(df.select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v")).filter("id is not null and v is not null and not exists(v, x -> x is null) and exists(v, x -> x <> 0)"))
+        blocks = max(1, -(-rows.count() // block))
+
+        def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            x = np.array(pdf["v"].tolist())
+            return pd.DataFrame([(key[0], pdf["id"].to_numpy().astype("<i8").tobytes(), (x / np.linalg.norm(x, axis=1, keepdims=True)).astype("<f8").tobytes())], columns=[name, f"ids_{name}", f"xs_{name}"])
+
+        dealt = rows.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+        return cut(dealt.groupBy(name).applyInPandas(pack, f"{name} int, ids_{name} binary, xs_{name} binary")), blocks
+
+    (a, _), (b, blocks) = packed(left, "a"), packed(right, "b")
+
+    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for r in f.itertuples(index=False):
+                i, j = np.frombuffer(r.ids_a, "<i8"), np.frombuffer(r.ids_b, "<i8")
+                order = np.argsort(j)
+                y = np.frombuffer(r.xs_b, "<f8").reshape(len(j), -1)[order]
+                score = np.frombuffer(r.xs_a, "<f8").reshape(len(i), -1) @ y.T
+                at = score.argmax(axis=1)  # the first of equals, the smallest id
+                top = score[np.arange(len(i)), at]
+                near = top >= least - 1e-9
+                yield pd.DataFrame({"id": i[near], "nearest": j[order][at[near]], "cosine": top[near]})
+
+    met = a.withColumn("b", F.explode(F.expr(f"sequence(0, {blocks - 1})"))).join(b, "b")
+    found = met.select("ids_a", "xs_a", "ids_b", "xs_b").mapInPandas(best, "id long, nearest long, cosine double")
+    top = F.max(F.struct("cosine", (-F.col("nearest")).alias("n")))
+    return found.groupBy("id").agg(top.alias("t")).select("id", (-F.col("t.n")).alias("nearest"), F.col("t.cosine").alias("cosine"))
+
+
 def kmeans(vectors: DataFrame, k: int, seed: int, rounds: int, id: str, vector: str) -> DataFrame:
     """(id, cluster): k-means by cosine."""
     from pyspark.ml.clustering import KMeans

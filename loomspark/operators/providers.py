@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -89,3 +89,40 @@ def waves(docs: DataFrame, by: str, position: str) -> Iterator[tuple[int, DataFr
     """Rows by position within their group, wave after wave: each wave may use what earlier ones produced."""
     for (w,) in sorted(tuple(r) for r in docs.select(position).distinct().collect()):  # a row a wave
         yield w, docs.filter(F.col(position) == w)
+
+
+def _jobs(spark: SparkSession, folder: str, what: str, schema: str) -> DataFrame:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{what}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], f"{schema}, job string")
+    return spark.read.schema(f"{schema}, job string").parquet(f"{folder}/{what}")
+
+
+def submit(requests: DataFrame, folder: str, id: str = "id", prompt: str = "prompt") -> str:
+    """Put requests down as a job in a shared folder and return its id, which follows from the requests: the same ones again are the same job."""
+    rows = requests.select(F.col(id).cast("string").alias("id"), F.col(prompt).cast("string").alias("prompt"))
+    job = "{:x}".format(rows.agg(F.coalesce(F.sum(F.xxhash64("id", "prompt").cast("decimal(38,0)")), F.lit(0)).alias("h"), F.count("*").alias("n")).select(F.abs(F.xxhash64("h", "n"))).first()[0])
+    rows.write.mode("overwrite").parquet(f"{folder}/requests/job={job}")
+    return job
+
+
+def answer(spark: SparkSession, folder: str, job: str, call: Callable[[str], str], **how) -> None:
+    """Work off what a job has no reply for yet, by ``complete``; every call writes a part of its own, so that a stopped run goes on where it was."""
+    asked = _jobs(spark, folder, "requests", "id string, prompt string").filter(F.col("job") == job)
+    had = _jobs(spark, folder, f"replies/job={job}", "id string, text string, error string")
+    complete(asked.join(had.select("id"), "id", "left_anti"), call, **how).write.mode("append").parquet(f"{folder}/replies/job={job}")
+
+
+def status(spark: SparkSession, folder: str) -> DataFrame:
+    """(job, n_requests, processing, succeeded, errored, ended) of every job in the folder."""
+    asked = _jobs(spark, folder, "requests", "id string, prompt string").groupBy("job").agg(F.count("*").alias("n_requests"))
+    had = _jobs(spark, folder, "replies", "id string, text string, error string").groupBy("job").agg(F.count_if(F.col("error").isNull()).alias("succeeded"), F.count("error").alias("errored"))
+    both = asked.join(had, "job", "left").na.fill(0, ["succeeded", "errored"]).withColumn("processing", F.col("n_requests") - F.col("succeeded") - F.col("errored"))
+    return both.select("job", "n_requests", "processing", "succeeded", "errored", (F.col("processing") <= 0).alias("ended"))
+
+
+def collect_replies(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(job, id, text, error) of all jobs, failed requests with their error; None until every job has ended."""
+    if not status(spark, folder).filter("not ended").isEmpty():
+        return None
+    return _jobs(spark, folder, "replies", "id string, text string, error string").select("job", "id", "text", "error")

@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import cosine
 from ..session import cut
-from .graphs import close_pairs, components
+from .graphs import close_pairs, components, nearest_rows
 
 #: From (batch, catalogue) to (record, cluster or null); and from orphans to proposed (record, cluster).
 Provider = tuple[Callable[[DataFrame, DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]
@@ -19,9 +18,8 @@ def nearest_seed_provider(least: float) -> Provider:
     """A provider without a model: the nearest catalogue vector at ``least`` cosine or more; orphans by components at the same cosine."""
 
     def classify(batch: DataFrame, catalogue: DataFrame) -> DataFrame:
-        scored = batch.join(F.broadcast(catalogue)).withColumn("s", cosine(F.col("v"), F.col("seed"))).filter(F.col("s") >= least)
-        best = scored.groupBy("record").agg(F.max_by("cluster", F.struct("s", (-F.col("cluster")).alias("c"))).alias("cluster"))
-        return batch.select("record").join(best, "record", "left")
+        best = nearest_rows(batch.withColumnRenamed("record", "id"), catalogue.select(F.col("cluster").alias("id"), F.col("seed").alias("v")), least)
+        return batch.select("record").join(best.select(F.col("id").alias("record"), F.col("nearest").alias("cluster")), "record", "left")
 
     def group(orphans: DataFrame) -> DataFrame:
         return components(close_pairs(orphans, least, "record", "v").select("a", "b")).select(F.col("node").alias("record"), F.col("component").alias("cluster"))
@@ -29,28 +27,35 @@ def nearest_seed_provider(least: float) -> Provider:
     return classify, group
 
 
-def next_batch(orphan_rates: list[float], steps: tuple[int, ...] = (300, 500, 800)) -> int:
-    """Batch size from the mean orphan rate of the last three rounds: smaller rates, larger batches."""
-    if len(orphan_rates) < 3:
-        return steps[0]
-    mean = sum(orphan_rates[-3:]) / 3
-    return steps[0] if mean > 0.2 else steps[1] if mean > 0.1 else steps[2]
+#: Below this orphan rate, this batch size.
+RAMP = ((0.15, 800), (0.3, 500), (0.5, 300))
 
 
-def sweep(records: DataFrame, provider: Provider, batch: int, rounds: int, least: int = 3) -> DataFrame:
+def next_batch(rounds: list[tuple[int, int]], batch: int) -> int:
+    """Batch size from the (orphans, records) of the rounds so far: larger ones the smaller the last three rounds' common orphan rate; ``batch`` before that."""
+    if len(rounds) < 3:
+        return batch
+    orphans, records = (sum(x) for x in zip(*rounds[-3:], strict=True))
+    return next((size for rate, size in RAMP if records and orphans / records < rate), batch)
+
+
+def sweep(records: DataFrame, provider: Provider, batch: int, rounds: int, least: int = 3, ramp: bool = False) -> DataFrame:
     """(record, cluster, round): a cluster is named by its smallest record, whose vector is its seed; round 0 are the orphans.
 
-    Batches follow the order of md5 of the record. The catalogue grows by clusters of ``least`` and more; each round is checkpointed. A last
-    pass gives the orphans another chance against the full catalogue, and ids the catalogue doesn't have count as orphans."""
+    Batches follow the order of md5 of the record. The catalogue grows by clusters of ``least`` and more; each round is checkpointed. With
+    ``ramp`` the batches grow as fewer records are left over (``next_batch``). A last pass gives the orphans another chance against the full catalogue, and ids the catalogue doesn't have count as orphans."""
     classify, group = provider
     order = F.md5(F.col("record").cast("string"))
     left = cut(records.withColumn("o", order))
     catalogue = records.sparkSession.createDataFrame([], f"cluster long, seed {records.schema['v'].dataType.simpleString()}")
-    done, orphans = None, records.limit(0)
+    done, orphans, history = None, records.limit(0), []
     for r in range(1, rounds + 1):
-        now = cut(left.orderBy("o").limit(batch).select("record", "v")) if r < rounds else left.select("record", "v")
-        found = cut(classify(now, catalogue).join(F.broadcast(catalogue.select("cluster")), "cluster", "left_semi"))
-        pool = cut(orphans.unionByName(now.join(found, "record", "left_anti")))
+        now = cut(left.orderBy("o").limit(next_batch(history, batch) if ramp else batch).select("record", "v")) if r < rounds else left.select("record", "v")
+        found = cut(classify(now, catalogue).join(catalogue.select("cluster"), "cluster", "left_semi"))
+        alone = now.join(found, "record", "left_anti")
+        if ramp:
+            history.append((alone.count(), now.count()))
+        pool = cut(orphans.unionByName(alone))
         proposed = group(pool).join(pool.select("record"), "record", "left_semi")
         sizes = proposed.groupBy("cluster").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
         new = cut(proposed.join(sizes.select("cluster"), "cluster", "left_semi"))

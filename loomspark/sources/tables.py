@@ -75,11 +75,11 @@ def yaml_records(spark: SparkSession, folder: str, schema: str, load: Callable[[
     return raw.mapInPandas(run, schema)
 
 
-def sitemap(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
-    """(url) of saved sitemap files, those under a prefix."""
+def sitemap(spark: SparkSession, path: str, prefix: str = "", pattern: str = "") -> DataFrame:
+    """(url) of saved sitemap files, those under a prefix in which a pattern is found."""
     raw = spark.read.text(path, wholetext=True)
     found = raw.select(F.explode(F.regexp_extract_all("value", F.lit(r"<loc>\s*([^<]+?)\s*</loc>"), F.lit(1))).alias("url"))
-    return found.filter(F.col("url").startswith(prefix)).distinct()
+    return found.filter(F.col("url").startswith(prefix) & F.col("url").rlike(pattern)).distinct()
 
 
 def doc_range(spec: str) -> Column:

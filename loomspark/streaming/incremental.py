@@ -12,15 +12,17 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..sources.sinks import upsert
 
 
-def refresh(spark: SparkSession, source: str, schema: str, target: str, key: str, checkpoint: str, position: list[str] | None = None) -> None:
+def refresh(spark: SparkSession, source: str, schema: str, target: str, key: str, checkpoint: str, position: list[str] | None = None, log: str | None = None) -> None:
     """Bring a versioned table up to date with the files that arrived since the last call. The stream's checkpoint knows which those
     are. Of a micro-batch's rows with one key the last by ``position`` (else by all columns) is kept, so a micro-batch that runs again writes
-    the same rows and its effect is the same once or twice."""
+    the same rows and its effect is the same once or twice. ``log`` is a folder for a row a micro-batch: rows that arrived, and keys."""
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
             last = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.struct(*(position or batch.columns))).alias("r")).select("r.*")
             upsert(spark, last, target, key)
+            if log:
+                batch.agg(F.count("*").alias("n_rows"), F.countDistinct(key).alias("n_keys")).write.mode("overwrite").parquet(f"{log}/batch={number}")
 
     stream = spark.readStream.schema(schema).parquet(source)
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
