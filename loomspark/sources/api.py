@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import once, unescape
+from .sinks import current, upsert, versions_of
 from .tables import largest_array
 
 #: Where search services keep their hits; the entries of the second kind hold the item under _source.
@@ -112,3 +114,23 @@ def meta_cells(html: Column) -> Column:
         return F.map_from_entries(F.transform(names, lambda n: F.struct(n.alias("key"), F.get(F.filter(filled, lambda p: p["k"] == n), F.lit(0))["v"].alias("value"))))
 
     return once(once(html, pairs), first)
+
+
+def _progress_folder(folder: str, landing: str) -> str:
+    return f"{folder}/{hashlib.sha256(landing.encode()).hexdigest()}"
+
+
+def save_progress(found: DataFrame, folder: str, landing: str, strategy: str, last_page: int, key: str = "page_url") -> None:
+    """What a discovery that starts from a landing page has found so far, as one more version; rows replace those with their key."""
+    upsert(found.sparkSession, found.withColumns({"strategy": F.lit(strategy), "last_page": F.lit(last_page), "landing_url": F.lit(landing)}), _progress_folder(folder, landing), key)
+
+
+def load_progress(spark: SparkSession, folder: str, landing: str) -> DataFrame | None:
+    """The last finished version for this landing page, None if there is none: other landing pages don't see it, nor does a save that failed."""
+    own = _progress_folder(folder, landing)
+    return current(spark, own) if versions_of(spark, own) else None
+
+
+def clear_progress(spark: SparkSession, folder: str, landing: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(_progress_folder(folder, landing))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -47,6 +47,13 @@ def current(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/v{versions_of(spark, folder)[-1]:06d}")
 
 
+def unindexed(df: DataFrame, folder: str, key: str) -> DataFrame:
+    """Rows whose key the table's current version does not have: one scan of its key column. All rows, where there is no version yet."""
+    if not versions_of(df.sparkSession, folder):
+        return df
+    return df.join(current(df.sparkSession, folder).select(key).distinct(), key, "left_anti")
+
+
 def audit_log(before: DataFrame, after: DataFrame, key: str, fields: list[str], reason: str) -> DataFrame:
     """(key, field, old, new, reason) of every changed cell."""
     met = before.select(key, *[F.col(f).cast("string").alias(f"o_{f}") for f in fields]).join(after.select(key, *[F.col(f).cast("string").alias(f"n_{f}") for f in fields]), key)

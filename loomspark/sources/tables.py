@@ -37,10 +37,17 @@ def documents(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFr
     return df.select(stem(F.regexp_extract(path, r"([^/]+?)(\.[^./]+)?$", 1)).alias("doc_id"), path.alias("path"), F.col("value").alias("text"))
 
 
-def records(spark: SparkSession, folder: str, schema: T.StructType, field: str = "records") -> DataFrame:
-    """(doc_id, pos, record columns) of JSON files that each hold an array of records; files that don't parse are skipped."""
+#: Files beside the event files of a folder that hold no events.
+RESERVED = ("batch_state.json", "event_index.json", "project_index.json", "discovery_summary.json", "canonical_taxonomy.json", "reconciled_classifications.json")
+
+
+def records(spark: SparkSession, folder: str, schema: T.StructType, field: str = "records", skip: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, pos, record columns) of JSON files that each hold an array of records; files that don't parse and those named in ``skip`` (RESERVED, for events) are
+    left out."""
     whole = T.StructType([T.StructField(field, T.ArrayType(schema)), T.StructField("_corrupt_record", T.StringType())])
     df = spark.read.schema(whole).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(folder)
+    if skip:
+        df = df.filter(~F.col("_metadata.file_name").isin(*skip))
     doc = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1)
     return df.select(doc.alias("doc_id"), F.posexplode(field).alias("pos", "r")).select("doc_id", "pos", "r.*")
 
@@ -63,18 +70,33 @@ def stoplist(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(line.alias("term")).filter("term <> ''").distinct()
 
 
-def yaml_records(spark: SparkSession, folder: str, schema: str, load: Callable[[str], list[dict]]) -> DataFrame:
-    """Records of YAML files by a given loader (yaml.safe_load, where it is installed), a file at a time on the executors."""
-    raw = spark.read.option("pathGlobFilter", "*.y*ml").text(folder, wholetext=True)
+def yaml_records(spark: SparkSession, folder: str, schema: str, load: Callable[[str], list[dict]] | None = None, pattern: str = "doc_*.yaml") -> DataFrame:
+    """Records of YAML files that each hold a list, a file at a time on the executors; ``doc_stem`` in the schema is the file's stem. Without ``load`` by
+    yaml.safe_load, which has to be installed. Empty files hold none."""
+    if load is None:
+        from yaml import safe_load as load
+    raw = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select("value", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.[^./]+$", 1).alias("stem"))
+    names = T.StructType.fromDDL(schema).names
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in schema.split(",")]
         for f in frames:
-            yield pd.DataFrame([{n: r.get(n) for n in names} for text in f["value"] for r in load(text) or []], columns=names)
+            rows = [{"doc_stem": stem, **r} for text, stem in f.itertuples(index=False) for r in load(text) or []]
+            if rows:
+                yield pd.DataFrame([{n: r.get(n) for n in names} for r in rows], columns=names)
 
     return raw.mapInPandas(run, schema)
 
 
+def templates(spark: SparkSession, folders: list[tuple[str, str | None]], pattern: str = "*.md") -> DataFrame:
+    """(level, name, stage, text): whole files of folders (path, stage or None) in order of priority, for ``providers.resolved``."""
+    out = None
+    for level, (folder, stage) in enumerate(folders):
+        name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.[^./]+$", 1)
+        own = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select(F.lit(level).alias("level"), name.alias("name"), F.lit(stage).cast("string").alias("stage"), F.col("value").alias("text"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def sitemap(spark: SparkSession, path: str, prefix: str = "", pattern: str = "") -> DataFrame:
     """(url) of saved sitemap files, those under a prefix in which a pattern is found."""
     raw = spark.read.text(path, wholetext=True)
