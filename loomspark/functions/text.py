@@ -130,6 +130,25 @@ def strip_html(html: Column, most: int | None = 80_000) -> Column:
     return text if most is None else F.left(text, F.lit(most))
 
 
+def without_tables(text: Column) -> Column:
+    """Text without tables and tags, each a blank: what names are looked for in. Places in it are those of the result."""
+    return F.regexp_replace(F.regexp_replace(text, r"(?is)<table\b.*?</table>", " "), "<[^>]+>", " ")
+
+
+#: Fixed value: what follows a text that was cut.
+TRUNCATED = "\n\n[... truncated ...]"
+
+
+def truncated(text: Column, most: int = 30_000) -> Column:
+    """A text for a prompt: the first ``most`` characters and a mark of what is left out."""
+    return F.when(F.length(text) > most, F.concat(F.left(text, F.lit(most)), F.lit(TRUNCATED))).otherwise(text)
+
+
+def unfenced(text: Column) -> Column:
+    """A reply without the code fence around it."""
+    return strip(F.regexp_replace(strip(text), r"(?s)^```[^\n]*\n|\s*```$", ""))
+
+
 def footnote_number(html: Column) -> Column:
     tagged, leading = F.regexp_extract(html, r"(?i)<sup>\s*(\d+)\s*</sup>", 1), F.regexp_extract(html_text(html), r"^(\d{1,3})\s+.", 1)
     return F.coalesce(F.nullif(tagged, F.lit("")), F.nullif(leading, F.lit("")))

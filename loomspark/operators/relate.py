@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import url_path
 from ..session import cut
 from .terms import ranked
 
@@ -175,3 +176,22 @@ def prefix_dedupe(df: DataFrame, path: str) -> DataFrame:
     own = paths.filter(F.size(parts) > 2).select("path", F.explode(heads).alias("head"))
     longer = own.join(paths.select(F.col("path").alias("p")), F.col("head") == F.col("p"), "left_semi").select("path").distinct()
     return paths.join(longer, "path", "left_anti")
+
+
+#: Paths of navigation, not of documents.
+NAVIGATION = ("/about/", "/contact", "/careers/", "/search/", "/login/", "/privacy/", "/accessibility/")
+
+
+def link_prefixes(df: DataFrame, url: str, id: str, landing: str = "", least: int = 3, samples: int = 5) -> DataFrame:
+    """(prefix, n, samples): first two path segments that ``least`` urls and more have, and their first ``samples`` urls by id; without navigation
+    and without what lies on the way to the landing page's path or below it. Urls of fewer than two segments have no prefix."""
+    parts = F.filter(F.split(url_path(F.col(url)), "/"), lambda p: p != "")
+    prefix = F.when(F.size(parts) >= 2, F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, 2), "/"), F.lit("/")))
+    own = df.select(F.col(id).alias("id"), F.col(url).alias("url"), prefix.alias("prefix")).filter("prefix is not null")
+    if landing:
+        own = own.filter(~F.lit(landing).startswith(F.col("prefix")) & ~F.col("prefix").startswith(landing))
+    for n in NAVIGATION:
+        own = own.filter(~F.col("prefix").contains(n))
+    counts = own.groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    first = ranked(own, ["prefix"], [F.col("id"), F.col("url")], samples).groupBy("prefix").agg(F.array_sort(F.collect_list(F.struct("rank", "url"))).alias("s"))
+    return counts.join(first, "prefix").select("prefix", "n", F.transform("s", lambda r: r["url"]).alias("samples"))

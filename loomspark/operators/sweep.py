@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -68,3 +68,39 @@ def sweep(records: DataFrame, provider: Provider, batch: int, rounds: int, least
     again = cut(classify(orphans, catalogue).filter("cluster is not null"))
     done = done.unionByName(again.withColumn("round", F.lit(rounds + 1)))
     return done.unionByName(orphans.join(again, "record", "left_anti").select("record", F.lit(None).cast("long").alias("cluster"), F.lit(0).alias("round")))
+
+
+def residual(orphans: DataFrame, provider: Provider, least: int = 3) -> DataFrame:
+    """(record, cluster) of what is left over, grouped once more: clusters of ``least`` and more, null for the singletons that remain. A record
+    that is proposed for several clusters goes to the smallest."""
+    orphans = cut(orphans)
+    proposed = provider[1](orphans).join(orphans.select("record"), "record", "left_semi").groupBy("record").agg(F.min("cluster").alias("cluster"))
+    large = proposed.groupBy("cluster").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("cluster")
+    return orphans.select("record").join(proposed.join(large, "cluster", "left_semi"), "record", "left").select("record", "cluster")
+
+
+def converge(records: DataFrame, provider: Provider, batch: int, first: int = 1, least: int = 3, seed: int = 2026) -> DataFrame:
+    """(record, chunk, cluster, status) of singletons of a finished sweep: each chunk is classified against the clusters that earlier chunks of this run formed,
+    and the rest of the chunk is grouped. Clusters are numbered on from ``first``; statuses are existing, new and singleton.
+
+    Chunks follow the order of md5 of seed and record. A chunk's rest is not carried into the next. A driver loop, a job a chunk, as each
+    chunk needs its predecessors' clusters; every chunk is checkpointed. No records give an empty table."""
+    classify, _ = provider
+    left = cut(records.withColumn("o", F.md5(F.concat(F.lit(f"{seed}:"), F.col("record").cast("string")))))
+    kind = records.schema["v"].dataType.simpleString()
+    catalogue = records.sparkSession.createDataFrame([], f"cluster long, seed {kind}")
+    done = records.sparkSession.createDataFrame([], "record long, chunk int, cluster long, status string")
+    for chunk in range(1, -(-left.count() // batch) + 1):
+        now = cut(left.orderBy("o", "record").limit(batch).select("record", "v"))
+        left = cut(left.join(now.select("record"), "record", "left_anti"))
+        found = cut(classify(now, catalogue).join(catalogue.select("cluster"), "cluster", "left_semi").select("record", "cluster"))
+        grouped = residual(now.join(found, "record", "left_anti"), provider, least)
+        numbers = grouped.filter("cluster is not null").groupBy(F.col("cluster").alias("c")).agg(F.min("record").alias("founder"))
+        numbers = cut(numbers.withColumn("number", F.row_number().over(Window.orderBy("founder")).cast("long") + (first - 1)))  # a row a cluster of one chunk
+        new = grouped.join(numbers, F.col("cluster") == F.col("c"), "left").select("record", F.col("number").alias("cluster"))
+        status = new.withColumn("status", F.when(F.col("cluster").isNull(), "singleton").otherwise("new")).unionByName(found.withColumn("status", F.lit("existing")))
+        done = cut(done.unionByName(status.select("record", F.lit(chunk).alias("chunk"), "cluster", "status")))
+        seeds = numbers.join(now, F.col("founder") == F.col("record")).select(F.col("number").alias("cluster"), F.col("v").alias("seed"))
+        catalogue = cut(catalogue.unionByName(seeds))
+        first += numbers.count()
+    return done

@@ -55,14 +55,18 @@ def lift(counts: DataFrame, least_n: int = 2, least_ratio: float = 3.0, least_gr
     return met.withColumn("lift", F.col("obs_share") / F.col("base_share")).filter(F.col("lift") >= least_ratio).select("grp", "term", "n", "obs_share", "base_share", "lift")
 
 
-def tfidf_pairs(docs: DataFrame, doc: str, group: str, text: str, most_df: float = 0.7, least: float = 0.15) -> DataFrame:
-    """(grp, a, b, cosine) of document pairs within a group; idf = ln(n / df), terms in ``most_df`` of the documents and more are out."""
+def tfidf_weights(docs: DataFrame, doc: str, group: str, text: str, most_df: float = 0.7) -> DataFrame:
+    """(grp, doc, term, w): tf * ln(n / df) within a group; terms in ``most_df`` of its documents and more are out."""
     tf = docs.select(F.col(group).alias("grp"), F.col(doc).alias("doc"), F.explode(X.letters3(F.col(text))).alias("term")).groupBy("grp", "doc", "term").agg(F.count("*").alias("tf"))
     tf = cut(tf)
     sizes = docs.groupBy(F.col(group).alias("g")).agg(F.count("*").alias("size"))
     df = tf.groupBy(F.col("grp").alias("g2"), F.col("term").alias("t2")).agg(F.count("*").alias("df"))
     w = tf.join(df, (F.col("grp") == F.col("g2")) & (F.col("term") == F.col("t2"))).join(sizes, F.col("grp") == F.col("g")).filter(F.col("df") < F.col("size") * most_df)
-    w = cut(w.select("grp", "doc", "term", (F.col("tf") * F.log(F.col("size") / F.col("df"))).alias("w")))
+    return cut(w.select("grp", "doc", "term", (F.col("tf") * F.log(F.col("size") / F.col("df"))).alias("w")))
+
+
+def tfidf_pairs(w: DataFrame, least: float = 0.15) -> DataFrame:
+    """(grp, a, b, cosine) of document pairs within a group of weights (grp, doc, term, w) at ``least`` or more, a < b."""
     norms = w.groupBy("grp", "doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     a, b = w.alias("a"), w.alias("b")
     dots = a.join(b, (F.col("a.grp") == F.col("b.grp")) & (F.col("a.term") == F.col("b.term")) & (F.col("a.doc") < F.col("b.doc")))
@@ -72,6 +76,15 @@ def tfidf_pairs(docs: DataFrame, doc: str, group: str, text: str, most_df: float
     return met.withColumn("cosine", F.col("dot") / (F.col("n_a") * F.col("n_b"))).filter(F.col("cosine") >= least).select("grp", "a", "b", "cosine")
 
 
+def shared_terms(pairs: DataFrame, weights: DataFrame, most: int = 5) -> DataFrame:
+    """The columns of pairs (grp, a, b) and ``shared``, the terms both documents have with the largest sums of weights, the smaller of equals first."""
+    x, y = (weights.select("grp", F.col("doc").alias(d), "term", F.col("w").alias(f"w_{d}")) for d in "ab")
+    met = pairs.join(x, ["grp", "a"]).join(y, ["grp", "b", "term"]).withColumn("__sum", F.round(F.col("w_a") + F.col("w_b"), 6))
+    top = ranked(met, ["grp", "a", "b"], [F.desc("__sum"), F.col("term")], most, "__rank")
+    kept = top.groupBy(*pairs.columns).agg(F.array_sort(F.collect_list(F.struct("__rank", "term"))).alias("__t"))
+    return kept.select(*pairs.columns, F.array_join(F.transform("__t", lambda r: r["term"]), " ").alias("shared"))
+
+
 def gram_rates(docs: DataFrame, text: str, n: int) -> DataFrame:
     """(gram, n, per_million) of hyphen-word n-grams."""
     grams = docs.select(F.explode(X.ngrams(X.hyphen_words(F.col(text)), n)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))

@@ -77,12 +77,15 @@ def base_rates_rollup(t):
 s AS (SELECT source AS grp, count(*) AS size FROM documents GROUP BY 1), f AS (SELECT grp, term, count(*) AS df FROM tf GROUP BY ALL),
 w AS (SELECT grp, doc, term, tf * ln(size / df::DOUBLE) AS w FROM tf JOIN f USING (grp, term) JOIN s USING (grp) WHERE df < size * 0.7::DOUBLE),
 n AS (SELECT grp, doc, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL),
-p AS (SELECT a.grp, a.doc AS a, b.doc AS b, sum(a.w * b.w) AS dot FROM w a JOIN w b ON a.grp = b.grp AND a.term = b.term AND a.doc < b.doc GROUP BY ALL)
-SELECT p.grp, a, b, round(dot / (x.norm * y.norm), 6) AS cosine FROM p JOIN n x ON x.grp = p.grp AND x.doc = a JOIN n y ON y.grp = p.grp AND y.doc = b
-WHERE dot / (x.norm * y.norm) >= 0.15 ORDER BY round(dot / (x.norm * y.norm), 6) DESC, a, b LIMIT 50""")
+p AS (SELECT a.grp, a.doc AS a, b.doc AS b, sum(a.w * b.w) AS dot FROM w a JOIN w b ON a.grp = b.grp AND a.term = b.term AND a.doc < b.doc GROUP BY ALL),
+h AS (SELECT p.grp, a, b, round(dot / (x.norm * y.norm), 6) AS cosine FROM p JOIN n x ON x.grp = p.grp AND x.doc = a JOIN n y ON y.grp = p.grp AND y.doc = b
+WHERE dot / (x.norm * y.norm) >= 0.15 ORDER BY round(dot / (x.norm * y.norm), 6) DESC, a, b LIMIT 50),
+r AS (SELECT h.*, x.term, row_number() OVER (PARTITION BY h.grp, a, b ORDER BY round(x.w + y.w, 6) DESC, x.term) AS k FROM h JOIN w x ON x.grp = h.grp AND x.doc = a JOIN w y ON y.grp = h.grp AND y.doc = b AND y.term = x.term)
+SELECT grp, a, b, cosine, string_agg(term, ' ' ORDER BY k) AS shared FROM r WHERE k <= 5 GROUP BY ALL""")
 def tfidf_hints(t):
-    pairs = T.tfidf_pairs(t("documents"), "doc_id", "source", "text").withColumn("cosine", F.round("cosine", 6))
-    return pairs.orderBy(F.desc("cosine"), "a", "b").limit(50)
+    weights = T.tfidf_weights(t("documents"), "doc_id", "source", "text")
+    pairs = T.tfidf_pairs(weights).withColumn("cosine", F.round("cosine", 6))
+    return T.shared_terms(pairs.orderBy(F.desc("cosine"), "a", "b").limit(50), weights)
 
 
 _BIGRAMS = """(SELECT list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM (SELECT list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z-]*'), lambda x: lower(x)) AS w FROM {table}))"""
@@ -168,10 +171,11 @@ def doc_links(t):
     return t("pages").select("page_id", F.array_join(F.array_sort(X.links(F.col("html"))), "|").alias("links"), (F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1) != "").alias("has_h1"))
 
 
-@query(r"""SELECT prefix, count(*) AS n FROM (SELECT array_to_string(string_split(ltrim(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/'), '/')[1:2], '/') AS prefix FROM pages) GROUP BY prefix HAVING count(*) >= 3""")
+@query(r"""WITH p AS (SELECT page_id, url, list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '/'), lambda x: x <> '') AS parts FROM pages),
+q AS (SELECT page_id, url, '/' || parts[1] || '/' || parts[2] || '/' AS prefix, row_number() OVER (PARTITION BY parts[1], parts[2] ORDER BY page_id) AS k, count(*) OVER (PARTITION BY parts[1], parts[2]) AS n FROM p WHERE len(parts) >= 2)
+SELECT prefix, n, string_agg(url, ' ' ORDER BY k) AS samples FROM q WHERE k <= 5 AND n >= 3 AND NOT regexp_matches(prefix, '/about/|/contact|/careers/|/search/|/login/|/privacy/|/accessibility/') GROUP BY prefix, n""")
 def link_prefixes(t):
-    path = F.ltrim(X.url_path(F.col("url")), F.lit("/"))
-    return t("pages").groupBy(F.array_join(F.slice(F.split(path, "/"), 1, 2), "/").alias("prefix")).agg(F.count("*").alias("n")).filter("n >= 3")
+    return R.link_prefixes(t("pages"), "url", "page_id").withColumn("samples", F.array_join("samples", " "))
 
 
 @query(r"""SELECT left(md5(regexp_replace(regexp_replace(lower(url), '^[a-z]+://(www\.)?|[?#].*$', '', 'g'), '/[^/]*/?$', '')), 6) AS key, count(*) AS n, min(page_id) AS first FROM pages GROUP BY 1 HAVING count(*) > 1""")
@@ -653,4 +657,12 @@ def sweep_converged(t):
     return sweep(rows, nearest_seed_provider(0.35), batch=200, rounds=4)
 
 
+@query()
+def convergence_chunks(t):
+    from ..operators.sweep import converge, nearest_seed_provider
+
+    rows = t("embeddings").select(F.col("vec_id").alias("record"), F.col("embedding").alias("v"))
+    return converge(rows, nearest_seed_provider(0.35), batch=-(-rows.count() // 3))
+
+
 from . import pages, records, texts  # noqa: E402, F401  their queries join the catalogue

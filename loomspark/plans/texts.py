@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import tolerant as J
 from ..functions import values as V
+from ..operators import documents as D
 from ..operators import providers as P
 from .registry import query
 
@@ -200,3 +201,51 @@ def fingerprint_lines(t):
     of_name = part.groupBy("name").agg(F.count("*").alias("bn"))
     shares = cells.join(of_term, "term").join(of_name, "name").join(F.broadcast(part.agg(F.count("*").alias("all_n")))).select("term", "name", (F.col("n") / F.col("tn")).alias("share"), (F.col("bn") / F.col("all_n")).alias("base"))
     return P.fingerprint_line(shares, 0.05, 0.1)
+
+
+# --- samples and replies
+
+
+@query(r"""SELECT doc_id, md5(CASE WHEN length(text) > 1000 THEN text[1:1000] || chr(10) || chr(10) || '[... truncated ...]' ELSE text END) AS content_md5, least(length(text), 1000 + 21)::INTEGER AS chars FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 20""")
+def sample_documents(t):
+    """A reproducible sample for a prompt, long texts cut and marked."""
+    rows = t("documents").orderBy(F.md5(F.concat(F.lit("42:"), F.col("doc_id").cast("string"))), "doc_id").limit(20)
+    content = X.truncated(F.col("text"), 1000)
+    return rows.select("doc_id", F.md5(content).alias("content_md5"), F.length(content).alias("chars"))
+
+
+@query(r"""SELECT page_id, md5(regexp_replace(regexp_replace(h, '(?is)<table\b.*?</table>', ' ', 'g'), '<[^>]+>', ' ', 'g')) AS text_md5 FROM (SELECT page_id, replace(replace(html, '<h2>', '<TABLE border=1><tr><td>x</td></tr>'), '</h2>', '</table>') AS h FROM pages)""")
+def tables_stripped(t):
+    html = F.replace(F.replace(F.col("html"), F.lit("<h2>"), F.lit("<TABLE border=1><tr><td>x</td></tr>")), F.lit("</h2>"), F.lit("</table>"))
+    return t("pages").select("page_id", F.md5(X.without_tables(html)).alias("text_md5"))
+
+
+@query(r"""SELECT conv_id, turn, u.pos::INTEGER AS pos, u.angle FROM (SELECT conv_id, turn, unnest([{'pos': 0, 'angle': 'q' || turn}] || CASE turn % 3 WHEN 2 THEN [] ELSE [{'pos': 1, 'angle': 'a"' || turn}, {'pos': 2, 'angle': '7'}] END) AS u FROM conversations)""")
+def query_expansion(t):
+    plain = F.concat(F.lit('["a\\"'), F.col("turn").cast("string"), F.lit('", 7]'))
+    reply = F.when(F.col("turn") % 3 == 0, plain).when(F.col("turn") % 3 == 1, F.concat(F.lit("```json\n"), plain, F.lit("\n```\n"))).otherwise("Sure! Here they are")
+    rows = t("conversations").select("conv_id", "turn", F.concat(F.lit("q"), F.col("turn")).alias("q"), reply.alias("r"))
+    return P.expanded(rows, F.col("q"), F.col("r")).select("conv_id", "turn", "pos", "angle")
+
+
+@query(r"""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_type IN ('click', 'view') THEN event_type END AS kind, CASE WHEN event_id % 3 <> 0 THEN 'yes' END AS seen,
+CASE WHEN event_id % 3 = 0 OR event_type IN ('click', 'view') THEN '' ELSE 'kind=' || event_type END AS invalid, event_id % 3 <> 0 AS parsed FROM events""")
+def checked_tags(t):
+    body = F.concat(F.lit('{"kind": "'), F.col("event_type"), F.lit('", "seen": "yes", "more": null}'))
+    reply = F.when(F.col("event_id") % 3 == 0, "no braces").when(F.col("event_id") % 3 == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise(F.concat(F.lit("I'd say "), body, F.lit(" then")))
+    got = P.checked_tags(t("events").select("event_id", reply.alias("reply")), F.col("reply"), {"kind": ["click", "view"], "seen": ["yes", "no"]})
+    return got.select("event_id", "kind", "seen", F.array_join(F.transform("invalid", lambda x: F.concat_ws("=", x["axis"], x["value"])), ";").alias("invalid"), "parsed")
+
+
+@query("SELECT conv_id, turn, run::INTEGER AS run, floor(length(text) / 4) AS tokens, round(floor(length(text) / 4) * 3.0::DOUBLE / 1000000 + 100 * 15.0::DOUBLE / 1000000, 9) AS cost FROM conversations, (SELECT unnest(range(3)) AS run)")
+def ensemble_costs(t):
+    rows = P.repeated(t("conversations").select("conv_id", "turn", F.floor(F.length("text") / 4).cast("double").alias("tokens")), 3)
+    return rows.select("conv_id", "turn", "run", "tokens", F.round(P.reply_cost(F.lit("large"), F.col("tokens"), F.lit(100), {"large": (3.0, 15.0)}), 9).alias("cost"))
+
+
+@query("""WITH s AS (SELECT l_orderkey AS doc, round(l_quantity / 3, 1) AS size, count(*) AS n, min(l_linenumber * 100000::BIGINT + l_partkey) AS first FROM lineitem WHERE l_linenumber <= 5 AND l_returnflag <> 'A' GROUP BY ALL),
+r AS (SELECT doc, size, row_number() OVER (PARTITION BY doc ORDER BY n DESC, first) AS k FROM s)
+SELECT doc, coalesce(r.size, 11.0::DOUBLE) AS size FROM (SELECT DISTINCT l_orderkey AS doc FROM lineitem) LEFT JOIN (SELECT doc, size FROM r WHERE k = 1) r USING (doc)""")
+def body_size(t):
+    spans = t("lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("page"), F.col("l_partkey").alias("pos"), (F.col("l_quantity") / 3).alias("size"), F.when(F.col("l_returnflag") == "A", " ab ").otherwise("abc").alias("text"))
+    return D.body_size(spans, pages=5)
