@@ -124,8 +124,8 @@ def section(blocks: DataFrame, start: str, end: str) -> DataFrame:
 
 def body_size(spans: DataFrame, pages: int = 30, other: float = 11.0) -> DataFrame:
     """(doc, size): the most frequent font size, to one decimal, of spans (doc, page, pos, size, text) of three characters and more on the first ``pages``
-    pages; of equally frequent ones the first in the document; without such spans ``other``."""
+    pages; of equally frequent ones the first in the document, of spans at one place the smaller; without such spans ``other``."""
     size = F.when((F.col("page") <= pages) & (F.length(X.strip(F.col("text"))) >= 3), F.round("size", 1))
     per = spans.groupBy("doc", size.alias("size")).agg(F.count("*").alias("n"), F.min(F.struct("page", "pos")).alias("first"))
-    order = F.when(F.col("size").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("first")))
+    order = F.when(F.col("size").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("first"), F.col("size")))
     return per.groupBy("doc").agg(F.coalesce(F.min_by("size", order), F.lit(other)).alias("size"))

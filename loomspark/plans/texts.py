@@ -244,7 +244,7 @@ def ensemble_costs(t):
 
 
 @query("""WITH s AS (SELECT l_orderkey AS doc, round(l_quantity / 3, 1) AS size, count(*) AS n, min(l_linenumber * 100000::BIGINT + l_partkey) AS first FROM lineitem WHERE l_linenumber <= 5 AND l_returnflag <> 'A' GROUP BY ALL),
-r AS (SELECT doc, size, row_number() OVER (PARTITION BY doc ORDER BY n DESC, first) AS k FROM s)
+r AS (SELECT doc, size, row_number() OVER (PARTITION BY doc ORDER BY n DESC, first, size) AS k FROM s)
 SELECT doc, coalesce(r.size, 11.0::DOUBLE) AS size FROM (SELECT DISTINCT l_orderkey AS doc FROM lineitem) LEFT JOIN (SELECT doc, size FROM r WHERE k = 1) r USING (doc)""")
 def body_size(t):
     spans = t("lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("page"), F.col("l_partkey").alias("pos"), (F.col("l_quantity") / 3).alias("size"), F.when(F.col("l_returnflag") == "A", " ab ").otherwise("abc").alias("text"))
