@@ -92,7 +92,7 @@ def consensus(df: DataFrame, rep: str, group: str, item: str, least: int = 2) ->
     return pairs.select(F.col("a.item").alias("a"), F.col("b.item").alias("b"), F.size(F.array_intersect("a.groups", "b.groups")).cast("long").alias("n")).distinct()
 
 
-def running(df: DataFrame, by: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+def running(df: DataFrame, by: list[str], order: list[str | Column], value: Column, name: str) -> DataFrame:
     """Sum of ``value`` up to each row of its group, in order (which should break all ties). The rows are dealt by ranges of group and order
     and summed within each range; what earlier ranges hold of a group is added, so a group that holds most rows makes no large task."""
     placed = cut(df.withColumn("__value", value).repartitionByRange(*by, *order).withColumn("__range", F.spark_partition_id()))

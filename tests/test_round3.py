@@ -26,3 +26,10 @@ def test_body_size_orders_places_as_its_sql_does(spark, tmp_path):
     table = pa.table({n: pa.array(x, k) for (n, k), x in zip(kinds.items(), zip(*lines, strict=True), strict=True)})
     got, want = both(spark, tmp_path, "body_size", lineitem=table)
     assert got == want
+
+
+def test_global_event_key_pads_and_cuts_as_its_sql_does(spark, tmp_path):
+    turns = [(k // 7, k % 7, "user") for k in range(10_050)] + [(1, 1, None), (None, 1, "user"), (2, None, "user"), (3, 1, "assistant")]
+    table = pa.table({n: pa.array(x, k) for n, k, x in zip(("conv_id", "turn", "role"), (pa.int64(), pa.int64(), pa.string()), zip(*turns, strict=True), strict=True)})
+    got, want = both(spark, tmp_path, "global_event_key", conversations=table)
+    assert got == want
