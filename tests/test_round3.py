@@ -41,3 +41,23 @@ def test_corpus_event_key_pads_and_cuts_as_its_sql_does(spark, tmp_path):
     customers = pa.table({"c_custkey": pa.array([*range(len(kinds) - 1), None], pa.int64()), "c_nationkey": pa.array(kinds, pa.int64())})
     got, want = both(spark, tmp_path, "corpus_event_key", nation=nations, customer=customers)
     assert got == want
+
+
+def test_top_k_of_many_buckets_and_tiles(spark, monkeypatch):
+    import numpy as np
+
+    from loomspark.llm import topk
+
+    rnd = np.random.default_rng(5)
+    rows = [(k, (rnd.normal(size=6) * (1 + k % 9)).tolist()) for k in range(900)] + [(k, [1.0, 2.0]) for k in range(900, 1000)]
+    want = {}
+    x = {k: np.floor(256 * np.r_[v, np.zeros(6 - len(v))]).astype(np.int64) for k, v in rows}
+    for q in range(0, 1000, 50):
+        want[q] = [(k, s) for s, k in sorted((-int(x[q] @ v), k) for k, v in x.items() if k != q)[:5]]
+    for name, value in {"GROUP": 8, "BLOCK": 3, "TILE": 12 * 24}.items():  # 125 buckets, shelves of three groups, desks of eight blocks
+        monkeypatch.setattr(topk, name, value, raising=False)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(topk.top_k(df, 5, 50).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, -r.score))
+    assert got == want
