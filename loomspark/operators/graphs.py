@@ -129,23 +129,50 @@ def kmeans(vectors: DataFrame, k: int, seed: int, rounds: int, id: str, vector:
 
 
 def average_linkage(pdf: pd.DataFrame, least: float) -> pd.DataFrame:
-    """(id, cluster) of one block of vectors (id, v): average linkage down to cosine ``least``; clusters by smallest id. Memory is
-    quadratic in the block, so blocks have to be bounded (k-means first)."""
+    """(id, cluster) of one block of vectors (id, v): average linkage down to cosine ``least``; clusters by smallest id.
+
+    Chains of nearest neighbours, which merge what the greedy order merges (but among ties): the mean cosine of two clusters is the product of their mean
+    unit vectors, so a step is one product with all live means. Memory is linear in the block, time quadratic."""
     ids, x = pdf["id"].to_numpy(), np.array(pdf["v"].tolist(), float)
-    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    sums, sizes, groups = x.copy(), np.ones(len(x)), [[i] for i in range(len(x))]
-    live = list(range(len(x)))
-    while len(live) > 1:
-        m = sums[live] / sizes[live][:, None]
-        s = m @ m.T
-        np.fill_diagonal(s, -2)
-        i, j = divmod(int(s.argmax()), len(live))
-        if s[i, j] < least:
-            break
-        a, b = live[min(i, j)], live[max(i, j)]
-        sums[a], sizes[a], groups[a] = sums[a] + sums[b], sizes[a] + sizes[b], groups[a] + groups[b]
-        live.remove(b)
-    return pd.DataFrame([(ids[i], min(ids[k] for k in groups[g])) for g in live for i in groups[g]], columns=["id", "cluster"])
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    n = len(x)
+    up, own, sizes, dead, n_dead = np.arange(n), np.arange(n), np.ones(n), np.zeros(n, bool), 0
+    chain: list[int] = []
+    first = 0
+    while n - n_dead > 1:
+        if n_dead * 2 > n:
+            to = np.cumsum(~dead) - 1
+            chain = [int(to[c]) for c in chain]
+            x, own, sizes = x[~dead], own[~dead], sizes[~dead]
+            n, n_dead, dead, first = len(x), 0, np.zeros(len(x), bool), 0
+        if not chain:
+            while dead[first]:
+                first += 1
+            chain = [first]
+        top = chain[-1]
+        s = x @ x[top]
+        s[dead] = -np.inf
+        s[top] = -np.inf
+        j = int(s.argmax())
+        if len(chain) > 1 and s[chain[-2]] >= s[j] - 1e-12:  # sums differ by their order: no chain in circles
+            j = chain[-2]
+        if s[j] < least:  # nothing that others merge into comes nearer
+            gone = chain.pop()
+        elif len(chain) > 1 and j == chain[-2]:
+            del chain[-2:]
+            a, gone = min(j, top), max(j, top)
+            x[a] = (x[a] * sizes[a] + x[gone] * sizes[gone]) / (sizes[a] + sizes[gone])
+            sizes[a] += sizes[gone]
+            up[own[gone]] = own[a]
+        else:
+            chain.append(j)
+            continue
+        dead[gone] = True
+        n_dead += 1
+    while (up[up] != up).any():
+        up = up[up]
+    low = pd.Series(ids).groupby(up).transform("min")
+    return pd.DataFrame({"id": ids, "cluster": low.to_numpy()})
 
 
 def linkage_clusters(vectors: DataFrame, least: float, block: str, id: str, vector: str) -> DataFrame:

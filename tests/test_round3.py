@@ -61,3 +61,41 @@ def test_top_k_of_many_buckets_and_tiles(spark, monkeypatch):
     for r in sorted(topk.top_k(df, 5, 50).collect(), key=lambda r: (r.query_id, r["rank"])):
         got.setdefault(r.query_id, []).append((r.vec_id, -r.score))
     assert got == want
+
+
+def test_average_linkage_merges_as_the_greedy_order_in_linear_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from loomspark.operators.graphs import average_linkage
+
+    rnd = np.random.default_rng(3)
+    centres = rnd.normal(size=(12, 8))
+
+    def drawn(n):
+        return pd.DataFrame({"id": rnd.permutation(n), "v": list(centres[rnd.integers(0, 12, n)] + rnd.normal(size=(n, 8)) * 0.7)})
+
+    def greedy(pdf, least):
+        x = np.array(pdf["v"].tolist())
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        s = x @ x.T
+        groups = [[k] for k in range(len(x))]
+        while len(groups) > 1:
+            m = np.array([[-2 if a is b else s[np.ix_(a, b)].mean() for b in groups] for a in groups])
+            i, j = sorted(divmod(int(m.argmax()), len(groups)))
+            if m[i, j] < least:
+                break
+            groups[i] += groups.pop(j)
+        return sorted(sorted(pdf["id"].iloc[g]) for g in groups)
+
+    for least in (0.3, 0.8):
+        pdf = drawn(80)
+        assert sorted(map(sorted, average_linkage(pdf, least).groupby("cluster")["id"].agg(list))) == greedy(pdf, least)
+    pdf = drawn(4_000)
+    tracemalloc.start()
+    average_linkage(pdf, 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6  # a matrix of all pairs takes 128 MB
