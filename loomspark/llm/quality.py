@@ -147,16 +147,21 @@ def fit(docs: DataFrame, labels: DataFrame, samples: Samples = Samples(), doc_id
 
     def learn(group: pa.Table) -> pa.Table:
         ids, use = np.array(group.column("id")), np.array(group.column("use").to_pylist())
-        x = np.frombuffer(b"".join(group.column("x").to_pylist()), np.float32).reshape(len(ids), WIDTH)
+        x = np.zeros((len(ids), WIDTH), np.float32)
+        for k, cell in enumerate(group.column("x")):
+            x[k] = np.frombuffer(cell.as_buffer(), np.float32)
         label = np.array([-1 if v is None else v for v in group.column("label").to_pylist()])
         order = np.lexsort((x[:, :256].sum(1), use, ids))  # whatever the order rows come in
-        x, use, label = x[order].astype(np.float64), use[order], label[order]
-        marked = label[use == "l"]
+        use, label = use[order], label[order]
+
+        def own(kind: str) -> np.ndarray:
+            return x[order[use == kind]].astype(np.float64)  # one use at a time: all at once takes hundreds of MB
+
         out = np.zeros(WIDTH + 2)
         out[-2:] = 1.0, np.log(prior / (1 - prior))
         if (use == "p").any() and (use == "u").any():
-            w = fit_nnpu(x[use == "p"], x[use == "u"], prior)
-            out = np.r_[w, calibrate(x[use == "l"] @ w, marked)]
+            w = fit_nnpu(own("p"), own("u"), prior)
+            out = np.r_[w, calibrate(own("l") @ w, label[use == "l"])]
         return pa.table({"w": pa.array([out.tolist()], pa.list_(pa.float64()))})
 
     found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(lean(learn), "w array<double>").first()
