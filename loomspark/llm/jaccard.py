@@ -265,7 +265,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: s
     pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(F.transform(F.expr("sequence(0, blocks - 1)"), lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j"))))
     task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(shares))).otherwise(F.xxhash64("component", "p.i", "p.j"))
     placed = members.withColumn("p", F.explode(pairs)).select("id", "component", "block", task.alias("task"))
-    placed = F.broadcast(placed) if is_small(members) else placed
+    placed = F.broadcast(placed) if is_small(placed) else placed  # a member of a large component has a row for each of its blocks
     texts = own.join(placed, own["doc_id"] == placed["id"]).select("task", "component", "block", "id", "text")
 
     def verified(group: pa.Table) -> pa.Table:

@@ -99,3 +99,17 @@ def test_average_linkage_merges_as_the_greedy_order_in_linear_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 30e6  # a matrix of all pairs takes 128 MB
+
+
+def test_jaccard_broadcasts_no_more_rows_than_allowed_for_components_of_many_blocks(spark, monkeypatch):
+    from loomspark.llm import _shared, jaccard
+
+    sent, broadcast = [], jaccard.F.broadcast
+    monkeypatch.setattr(jaccard.F, "broadcast", lambda df: (sent.append(df.count()), broadcast(df))[1])
+    monkeypatch.setattr(_shared, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(jaccard, "BLOCK", 1_000)  # the group's 60 sets of some 40 shingles make 20 blocks
+    words = [f"w{k}" for k in range(43)]
+    rows = [(k, " ".join([*words[:-1], f"x{k}"])) for k in range(60)] + [(100 + k, f"alone {k}") for k in range(20)]
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
+    assert got == {k: 0 if k < 60 else k for k, _ in rows}
+    assert all(n <= 100 for n in sent), sent
