@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..session import cut
+from ..session import cut, scratch
 
 
 def ranked(df: DataFrame, by: list[str], order: list[Column], most: int, name: str = "rank") -> DataFrame:
@@ -76,6 +80,95 @@ def tfidf_pairs(w: DataFrame, least: float = 0.15) -> DataFrame:
     return met.withColumn("cosine", F.col("dot") / (F.col("n_a") * F.col("n_b"))).filter(F.col("cosine") >= least).select("grp", "a", "b", "cosine")
 
 
+def tfidf_vectors(docs: DataFrame, doc: str, group: str, text: str, most_df: float = 0.7) -> DataFrame:
+    """(grp, doc, norm, v): the weights of ``tfidf_weights`` with a row for each document, as a written table. v holds (df, term, w) in order, without
+    the terms of one document, which count in the norm only."""
+    spark = docs.sparkSession
+    own = docs.select(F.col(group).alias("grp"), F.col(doc).alias("doc"), F.col(text).alias("text")).filter("grp is not null")
+    # Dealt by document, so that terms are counted where the text is.
+    tf = own.repartition("grp", "doc").select("grp", "doc", F.explode(X.letters3(F.col("text"))).alias("term")).groupBy("grp", "doc", "term").agg(F.count("*").alias("tf"))
+    tf.groupBy("grp", "doc").agg(F.collect_list(F.struct("term", "tf")).alias("t")).write.parquet(path := scratch(spark, "tfidf-counts"))
+    counts = spark.read.parquet(path).select("grp", "doc", F.explode("t").alias("t")).select("grp", "doc", "t.term", "t.tf")
+    sizes = own.groupBy(F.col("grp").alias("g")).agg(F.count("*").alias("size"))
+    df = counts.groupBy(F.col("grp").alias("g2"), F.col("term").alias("t2")).agg(F.count("*").alias("df"))
+    w = counts.filter("doc is not null").join(df, (F.col("grp") == F.col("g2")) & (F.col("term") == F.col("t2"))).join(F.broadcast(sizes), F.col("grp") == F.col("g")).filter(F.col("df") < F.col("size") * most_df)
+    w = w.select("grp", "doc", F.struct("df", "term", (F.col("tf") * F.log(F.col("size") / F.col("df"))).alias("w")).alias("t"))
+    all_of = w.groupBy("grp", "doc").agg(F.array_sort(F.collect_list("t")).alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
+    all_of.select("grp", "doc", norm.alias("norm"), F.filter("v", lambda x: x["df"] > 1).alias("v")).filter("size(v) > 0").write.parquet(path := scratch(spark, "tfidf-vectors"))
+    return spark.read.parquet(path)
+
+
+def tfidf_rows(vectors: DataFrame) -> DataFrame:
+    """(grp, doc, term, w) of vectors."""
+    return vectors.select("grp", "doc", F.explode("v").alias("t")).select("grp", "doc", "t.term", "t.w")
+
+
+def _heads(vectors: DataFrame, least: float) -> DataFrame:
+    """(grp, term, doc): the terms of which two vectors with a cosine of ``least`` or more share one, in the heads of both. If the first term they share, by
+    (df, term), is at i, their cosine is at most the norm of the rest from i on over the norm; where that is less than ``least``, the head ends."""
+    kinds = dict(vectors.dtypes)
+
+    def cut_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("v")
+            if not len(lists):
+                continue
+            lengths, flat = np.array(lists.value_lengths()), lists.flatten()
+            w = np.array(flat.field("w"))
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            sums = np.r_[0.0, np.cumsum(w * w)]
+            ends = np.cumsum(lengths)
+            rest = sums[ends][row] - sums[:-1]
+            bound = np.square(least * np.array(batch.column("norm")))[row]
+            kept = np.flatnonzero(rest >= bound * (1 - 1e-9) - sums[-1] * 1e-12)  # with room for rounding
+            at = pa.array(row[kept])
+            yield pa.RecordBatch.from_arrays([batch.column("grp").take(at), flat.field("term").take(pa.array(kept)), batch.column("doc").take(at)], ["grp", "term", "doc"])
+
+    return vectors.select("grp", "doc", "norm", "v").mapInArrow(cut_off, f"grp {kinds['grp']}, term string, doc {kinds['doc']}")
+
+
+def _cosines(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(grp, a, b, cosine) of pairs (grp, a, b)."""
+    kinds = dict(pairs.dtypes)
+    x, y = (vectors.select("grp", F.col("doc").alias(d), F.col("norm").alias(f"n_{d}"), F.col("v.term").alias(f"t_{d}"), F.col("v.w").alias(f"w_{d}")) for d in "ab")
+
+    def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for n_a, n_b, t_a, w_a, t_b, w_b in zip(*(batch.column(c) for c in ("n_a", "n_b", "t_a", "w_a", "t_b", "w_b")), strict=True):
+                own = dict(zip(t_a.as_py(), w_a.as_py(), strict=True))
+                out.append(sum(own.get(t, 0.0) * w for t, w in zip(t_b.as_py(), w_b.as_py(), strict=True)) / (n_a.as_py() * n_b.as_py()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "a", "b")), pa.array(out, pa.float64())], ["grp", "a", "b", "cosine"])
+
+    return pairs.join(x, ["grp", "a"]).join(y, ["grp", "b"]).mapInArrow(multiplied, f"grp {kinds['grp']}, a {kinds['a']}, b {kinds['b']}, cosine double")
+
+
+def tfidf_top(vectors: DataFrame, most: int, least: float = 0.15, digits: int = 6) -> DataFrame:
+    """The first ``most`` pairs (grp, a, b, cosine) of ``tfidf_pairs`` by cosine, rounded to ``digits``, descending, then a and b.
+
+    Pairs are looked for down to a threshold, from 1 on, until the last pair wanted is above it; if all pairs are fewer, that is ``least``.
+    Of documents with the same vector the first most + 1 do: one beyond has ``most`` pairs of the same cosine before each of its own.
+    """
+    same = Window.partitionBy("grp", "norm", "__same").orderBy("doc")
+    few = vectors.withColumn("__same", F.sha2(F.to_json("v"), 256)).withColumn("__nth", F.row_number().over(same)).filter(F.col("__nth") <= most + 1).drop("__same", "__nth")
+    few.write.parquet(path := scratch(vectors.sparkSession, "tfidf-few"))
+    few = vectors.sparkSession.read.parquet(path)
+    step = 10.0**-digits
+    at, lower = 1 - step, [0.9, 0.6, 0.3]
+    while True:
+        at = max(at, least * (1 - 1e-9))
+        heads = _heads(few, at)
+        met = heads.alias("x").join(heads.alias("y"), (F.col("x.grp") == F.col("y.grp")) & (F.col("x.term") == F.col("y.term")) & (F.col("x.doc") < F.col("y.doc")))
+        pairs = met.select("x.grp", F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+        found = _cosines(pairs, few).filter(F.col("cosine") >= least)
+        top = cut(found.orderBy(F.round("cosine", digits).desc(), "a", "b").limit(most))
+        n, last = top.agg(F.count("*"), F.min(F.round("cosine", digits))).first()
+        if at <= least or n == most and last - 0.6 * step >= at:
+            return top
+        at = last - step if n == most else next((x for x in lower if x < at), least)
+
+
 def shared_terms(pairs: DataFrame, weights: DataFrame, most: int = 5) -> DataFrame:
     """The columns of pairs (grp, a, b) and ``shared``, the terms both documents have with the largest sums of weights, the smaller of equals first."""
     x, y = (weights.select("grp", F.col("doc").alias(d), "term", F.col("w").alias(f"w_{d}")) for d in "ab")

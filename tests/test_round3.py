@@ -113,3 +113,24 @@ def test_jaccard_broadcasts_no_more_rows_than_allowed_for_components_of_many_blo
     got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
     assert got == {k: 0 if k < 60 else k for k, _ in rows}
     assert all(n <= 100 for n in sent), sent
+
+
+def test_tfidf_top_makes_few_of_all_pairs_and_is_their_head(spark):
+    import random
+
+    from loomspark.operators import terms as T
+
+    rnd = random.Random(7)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(60)]
+    rows = [(k, "ab"[k % 2], " ".join(rnd.choices(words, k=12))) for k in range(120)]
+    rows += [(200 + k, "a", rows[k % 3 * 2][2]) for k in range(40)] + [(300, None, words[0]), (None, "a", words[1]), (301, "b", None), (0, "a", words[2])]
+    docs = spark.createDataFrame(rows, "doc long, grp string, text string")
+    pairs = T.tfidf_pairs(T.tfidf_weights(docs, "doc", "grp", "text"))
+    want = sorted(((-round(r.cosine, 6), r.a, r.b, r.grp) for r in pairs.collect()))
+    vectors = T.tfidf_vectors(docs, "doc", "grp", "text")
+    for most in (1, 5, 1000):  # the last needs pairs of lower cosines
+        got = sorted((-round(r.cosine, 6), r.a, r.b, r.grp) for r in T.tfidf_top(vectors, most).collect())
+        assert got == want[:most]
+    heads = T._heads(vectors, 1 - 1e-6)
+    met = heads.alias("x").join(heads.alias("y"), ["grp", "term"]).filter("x.doc < y.doc").count()
+    assert met < len(want) / 4  # pairs of terms that both have, of all pairs that were joined before
