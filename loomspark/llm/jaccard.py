@@ -10,6 +10,10 @@ rare, use single shingles the same way; small sets always do.) Equal keys of set
 are candidates; each task sends on only one entry for a run of sizes under a key, so a key that a third of all documents
 have makes no large group. Candidates are gathered by connected components.
 
+Shingles that many documents have, as of a line that a site repeats, come last in the order: else documents that have no more than such a line in
+common would meet, and the more documents there are, the more of these would chain into one component. Any order that all sets share
+gives the same links, so which shingles count as common is only looked up in a sample of documents.
+
 Within a component the documents form a signature tree: nodes hold OR-combined token bitmaps (with the most tokens a
 document has behind each bit) and the range of sizes. Two trees, or a tree with itself, are traversed together; a pair of nodes whose greatest
 possible overlap is too small for their smallest sizes is pruned, as is a pair that is connected already, and what is left at the
@@ -35,6 +39,8 @@ from .components import components, stars
 
 #: Set sizes from which bins are used; bytes of keys a task of the exchange gets about; bytes of text a verifying task gets about.
 BINS_FROM, EXCHANGE, BLOCK = 64, 24 << 20, 8 << 20
+#: Documents in which common shingles are looked for, about; of how many of these a common one is; the most that are kept, the most frequent ones; tasks that count.
+SAMPLE, COMMON_FROM, COMMON_MOST, SAMPLE_DEALS = 16_384, 3, 65_536, 16
 #: Children of a tree's node.
 FAN = 16
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -69,11 +75,14 @@ def shingles(text: str | None, k: int, words: _Words) -> np.ndarray:
     return np.unique(out)
 
 
-def keys(s: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of which two linking sets share at least one (see above)."""
+def keys(s: np.ndarray, percent: int, common: np.ndarray | None = None) -> np.ndarray:
+    """Keys of which two linking sets share at least one (see above). ``common``: sorted shingles that come last in the order."""
     n = len(s)
     if not n:
         return s
+    often = np.zeros(n, bool)
+    if common is not None and len(common):
+        often = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
     most = n * 100 // percent  # the largest set it can link with
     out = []
     single = n < BINS_FROM
@@ -85,13 +94,14 @@ def keys(s: np.ndarray, percent: int) -> np.ndarray:
             counts = np.diff(np.r_[starts, n])
             key = _mix(np.add.reduceat(_mix(s), starts) + _mix(bins[starts] * np.uint64(64) + np.uint64(r)))
             if len(key) > differ + 1:
-                order = (np.uint64(255) - np.minimum(counts, 255).astype(np.uint64) << np.uint64(56)) | (key >> np.uint64(8))
+                order = np.uint64(127) - np.minimum(counts, 127).astype(np.uint64) + np.logical_and.reduceat(often, starts).astype(np.uint64) * np.uint64(128)
+                order = (order << np.uint64(56)) | (key >> np.uint64(8))
                 key = key[np.argpartition(order, differ)[: differ + 1]]
             out.append(key)
             single |= len(key) <= differ  # too few bins to be sure of an equal one
     if single:
         prefix = n - (n * percent + 99) // 100 + 1
-        out.append(_mix(s[:prefix] ^ np.uint64(0x5851F42D4C957F2D)))
+        out.append(_mix(np.r_[s[~often], s[often]][:prefix] ^ np.uint64(0x5851F42D4C957F2D)))
     return np.concatenate(out)
 
 
@@ -207,10 +217,33 @@ def _linked(group: list[tuple[int, int, np.ndarray]], percent: int) -> Iterator[
         yield parts[a][i][0], parts[b][j][0]
 
 
+def common_shingles(docs: DataFrame, k: int) -> np.ndarray:
+    """Sorted hashes of the shingles that several documents of a sample of (doc_id, text) have. They only order keys: no link depends on them."""
+    one_in = max(1, docs.count() // SAMPLE)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        for batch in batches:
+            for a, b in slices(batch.column(0), 8 << 20):
+                s = np.concatenate([shingles(t.as_py(), k, words) for t in batch.column(0).slice(a, b - a)])
+                yield by_deal(shingles=((s % np.uint64(SAMPLE_DEALS)).astype(np.int64), s[None]))
+
+    def counted(group: pa.Table) -> pa.Table:
+        found, n = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]), return_counts=True)
+        often = n >= COMMON_FROM
+        return pa.table([pa.array(found[often].view(np.int64)), pa.array(n[often])], ["shingle", "n"])
+
+    some = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0).select("text")
+    found = some.mapInArrow(lean(dealt), "deal int, shingles binary").groupBy("deal").applyInArrow(lean(counted), "shingle long, n long")
+    found = found.orderBy(F.desc("n"), "shingle").limit(COMMON_MOST).select("shingle").toArrow()
+    return np.sort(found.column(0).to_numpy().view(np.uint64))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest id reachable by links, itself included."""
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    common = common_shingles(own, k)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -220,7 +253,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: s
                 s = shingles(t.as_py(), k, words)
                 out[0].append(len(s))
                 out[1].append(xxhash.xxh3_128_digest(s.tobytes()))
-                out[2].append(keys(s, percent).tobytes())
+                out[2].append(keys(s, percent, common).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.binary(), pa.binary()), strict=True))], ["doc_id", "n", "same", "keys"])
 
     sets = written(own.mapInArrow(lean(described), "doc_id long, n long, same binary, keys binary"), "jaccard-sets")

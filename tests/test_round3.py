@@ -115,6 +115,40 @@ def test_jaccard_broadcasts_no_more_rows_than_allowed_for_components_of_many_blo
     assert all(n <= 100 for n in sent), sent
 
 
+def test_jaccard_documents_with_no_more_than_lines_in_common_do_not_meet(spark, monkeypatch):
+    import random
+
+    from loomspark.llm import jaccard
+
+    met, written = {}, jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, tag: met.setdefault(tag, written(df, tag)))
+    rnd = random.Random(3)
+    line = " ".join(f"line{k}" for k in range(12))
+    rows = [(k, f"{line}\n" + " ".join(f"w{rnd.randrange(10**9)}" for _ in range(30 + k % 90))) for k in range(300)]
+    rows += [(1000 + k, t + (" more" if k % 2 else "")) for k, t in rows[:20]]  # near and exact copies
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}
+    assert got == {k: k % 1000 for k, _ in rows}
+    assert met["jaccard-members"].count() <= 40  # all 300 and more before
+
+
+def test_jaccard_keys_meet_whatever_is_common():
+    import numpy as np
+
+    from loomspark.llm.jaccard import keys
+
+    rnd = np.random.default_rng(7)
+    for n in [*range(1, 140), 300, 700]:
+        s = np.unique(rnd.integers(0, 2**64, n, dtype=np.uint64))
+        other = np.unique(np.r_[s[rnd.permutation(len(s))[: len(s) - len(s) // 10]], rnd.integers(0, 2**64, n // 10, dtype=np.uint64)])
+        shared = len(np.intersect1d(s, other))
+        if shared * 100 < 80 * (len(s) + len(other) - shared):
+            continue
+        for part in (0, 0.1, 0.5, 1):
+            pool = np.unique(np.r_[s, other, rnd.integers(0, 2**64, 9, dtype=np.uint64)])
+            common = pool[rnd.random(len(pool)) < part]
+            assert len(np.intersect1d(keys(s, 80, common), keys(other, 80, common))), (n, part)
+
+
 def test_tfidf_top_makes_few_of_all_pairs_and_is_their_head(spark):
     import random
 
